@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.functions.scalar import ISO_SECONDS
+from strata.functions.scalar import iso_text
 from strata.plans.gold import GoldRun, gold_spec, run_gold
 from strata.sources.table import KeyedTable
 from strata.spec import TableSpec
@@ -35,7 +35,7 @@ def orders_text(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("orderid").cast("string").alias("orderid"),
         F.col("customer_id").cast("string").alias("customer_id"),
-        F.date_format("ts", ISO_SECONDS).alias("ts"),
+        iso_text("ts").alias("ts"),
         F.col("order_value").cast("decimal(18,2)").cast("string").alias("order_value"),
         F.col("priority").cast("string").alias("priority"),
     )
@@ -45,7 +45,7 @@ def customers_text(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("customer_id").cast("string").alias("customer_id"),
         "name", "state", "city", "email",
-        F.date_format("ts", ISO_SECONDS).alias("ts"),
+        iso_text("ts").alias("ts"),
     )
 
 

@@ -85,7 +85,8 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
     todo.createOrReplaceTempView("orders")
     cust.drop(COMMIT).createOrReplaceTempView("customers")
     rows = session.sql(sql)
-    commit = gold.write(rows, "upsert", tag=f"{consumer}:{run}")
+    # a rerun of the same range reuses (or skips) its gold commit; a wider range is a new commit
+    commit = gold.write(rows, "upsert", tag=f"{consumer}:{run}:{since}:{upto}:{c_upto}")
     unmatched(todo, cust).write.mode("overwrite").parquet(_pending_path(progress, run))
     todo.unpersist()
     progress.write({

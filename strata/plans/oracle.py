@@ -96,6 +96,7 @@ ORACLE: dict[str, str] = {
     "file_sizing": f'SELECT *, CAST(0 AS BIGINT) AS "commit" FROM ({ORDERS_FEED})',
     "catalog_table": f'SELECT *, CAST(0 AS BIGINT) AS "commit" FROM ({ORDERS_FEED})',
     "json_roundtrip": ORDERS_TEXT,
+    "json_functions": ORDERS_TEXT,
     "bookmark_new_files": ORDERS_TEXT,
     "corrupt_quarantine": f"""
         SELECT t.* FROM ({ORDERS_TEXT}) t JOIN orders o ON t.orderid = CAST(o.o_orderkey AS VARCHAR)

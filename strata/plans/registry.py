@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.scalar import json_to_row, row_to_json
 from strata.operators import merge, versions
 from strata.operators.join import GOLD_COLUMNS, GOLD_SQL, gold_join
 from strata.plans.chain import CUSTOMERS_SCHEMA, ORDERS_SCHEMA, Chain, customers_text, orders_text
@@ -299,6 +300,12 @@ def json_roundtrip(spark, d):
     return read_raw(spark, landing, "json")
 
 
+def json_functions(spark, d):
+    """Rows -> JSON object text -> rows again, with the landing schema."""
+    text = row_to_json(orders_text(orders_feed(spark, d)))
+    return json_to_row(text, "value", ORDERS_SCHEMA)
+
+
 def bookmark_new_files(spark, d):
     """Two landings, two runs: the second run reads only the second landing's files."""
     root = scratch_dir(spark, "bookmark")
@@ -396,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "file_sizing": file_sizing,
     "catalog_table": catalog_table,
     "json_roundtrip": json_roundtrip,
+    "json_functions": json_functions,
     "bookmark_new_files": bookmark_new_files,
     "corrupt_quarantine": corrupt_quarantine,
     "medallion_chain": medallion_chain,

@@ -209,8 +209,9 @@ class KeyedTable:
         spec = self.spec
         parts = list(spec.partition_by if partition_by is None else partition_by)
         if parts and not sort_by:
-            # rows of one partition value go to few tasks: few files per directory
-            df = df.repartition(*[F.col(p) for p in parts])
+            # rows of one partition value go to few tasks (few files per directory); AQE splits a
+            # value that holds a large share of the rows across tasks and merges small ones
+            df = df.hint("rebalance", *parts)
         if sort_by:
             df = df.sortWithinPartitions(*sort_by)
         writer = (df.write.mode("overwrite")
@@ -253,6 +254,11 @@ class KeyedTable:
             log_rows = merge.precombine(stamped, spec.merge_keys, spec.precombine)
         elif method == "delete":
             log_rows = merge.tombstones(stamped, spec.merge_keys).withColumn(COMMIT, F.lit(n).cast("bigint"))
+            known = {f.name: f.dataType for f in (self.schema() or StructType()).fields}
+            for p in spec.partition_by:
+                if p not in log_rows.columns:
+                    # a key-only delete does not know the row's partition: default partition
+                    log_rows = log_rows.withColumn(p, F.lit(None).cast(known.get(p, "string")))
         else:
             log_rows = stamped
         self._save_schema(stamped.schema)
