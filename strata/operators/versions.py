@@ -28,7 +28,7 @@ def snapshot(log: DataFrame, keys, precombine=None, ordering: str = "arrival") -
 
 
 def increment(log: DataFrame, since: int, keys, precombine=None, ordering: str = "arrival",
-              until: int | None = None) -> DataFrame:
+              until: int | None = None, candidates: DataFrame | None = None) -> DataFrame:
     """Keys changed after instant ``since`` (exclusive) up to ``until`` (inclusive), each at its
     latest version; not every intermediate change.
 
@@ -37,6 +37,8 @@ def increment(log: DataFrame, since: int, keys, precombine=None, ordering: str =
     event_time  a late row in a new commit may lose to an older stored one, so the winner is
                 chosen among *all* versions of the changed keys and kept only if its commit is
                 in range.  Only changed keys are shuffled: the log meets them through a semi join.
+    ``candidates`` (event_time): rows that hold every possible winner up to ``until`` when that is
+    less than the whole log, e.g. a folded base plus the log after it.
     """
     keys = key_list(keys)
     rng = F.col(COMMIT) > F.lit(since)
@@ -45,7 +47,8 @@ def increment(log: DataFrame, since: int, keys, precombine=None, ordering: str =
     if ordering == "arrival":
         changed = log.where(rng)
         return _live(latest_per_key(changed, keys, snapshot_order(changed, keys, precombine, ordering)))
-    bounded = log if until is None else log.where(F.col(COMMIT) <= F.lit(until))
+    pool = log if candidates is None else candidates
+    bounded = pool if until is None else pool.where(F.col(COMMIT) <= F.lit(until))
     changed_keys = log.where(rng).select(*keys)
     candidates = semi_join_keys(bounded, changed_keys, keys, "left_semi")
     winners = latest_per_key(candidates, keys, snapshot_order(candidates, keys, precombine, ordering))

@@ -93,6 +93,9 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
         o_src: {"table_name": o_src, "path": orders.root, "last_processed_commit": max(upto, since)},
         c_src: {"table_name": c_src, "path": customers.root, "last_processed_commit": c_upto},
     })
+    if prev is not None:
+        # the previous run's pending rows are superseded once this run's progress is durable
+        progress.fs.delete(_pending_path(progress, prev))
     return GoldRun(run, since, upto, commit)
 
 

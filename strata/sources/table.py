@@ -175,17 +175,21 @@ class KeyedTable:
     def increment(self, since: int, until: int | None = None) -> DataFrame:
         """Keys changed in commits (since, until], each at its latest version."""
         spec = self.spec
+        expired = self.expired_before()
+        if expired is not None and since < expired:
+            raise ValueError(f"log of {spec.name!r} was expired past {since}; restart from the snapshot")
+        changed = self.log(since=since, until=until)
         if spec.ordering == "arrival":
-            log = self.log(since=since, until=until)
-        elif self.expired_before() is None:
-            log = self.log(until=until)
+            return versions.increment(changed, since, spec.merge_keys, spec.precombine, "arrival", until).drop(DELETED)
+        # event_time: the newest base at or before ``until`` already holds the winner of every
+        # key up to its commit, so candidates are that base plus the log after it, not all history
+        vs = [v for v in self.base_versions() if until is None or v <= until]
+        if vs:
+            pool = self.base(vs[-1]).unionByName(self.log(since=vs[-1], until=until), allowMissingColumns=True)
         else:
-            # versions older than the retained log live on in the newest base
-            m = self.base_versions()[-1]
-            log = self.base(m).unionByName(self.log(since=max(m, since), until=until), allowMissingColumns=True)
-            if since < self.expired_before():
-                raise ValueError(f"log of {spec.name!r} was expired past {since}; restart from the snapshot")
-        return versions.increment(log, since, spec.merge_keys, spec.precombine, spec.ordering, until).drop(DELETED)
+            pool = self.log(until=until)
+        return versions.increment(changed, since, spec.merge_keys, spec.precombine, "event_time", until,
+                                  candidates=pool).drop(DELETED)
 
     # ------------------------------------------------------------------ writes
     def _claim(self, tag: str | None) -> tuple[int, bool]:
@@ -372,7 +376,11 @@ class KeyedTable:
         location = self.fs.qualify(f"{self.base_dir}/v={self.base_versions()[-1]}")
         spark = self.spark
         if "." in name:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+            db = name.split(".")[0]
+            if not spark.catalog.databaseExists(db):
+                # next to the table, not in the driver's working directory
+                db_path = self.fs.qualify(f"{self.root}/../_catalog/{db}.db")
+                spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{db_path}'")
         parts = self.spec.partition_by
         if spark.catalog.tableExists(name):
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")

@@ -113,6 +113,9 @@ def run_gold_stream(spark: SparkSession, orders: KeyedTable, customers: KeyedTab
             made.append(n)
         unmatched(todo, cust).write.mode("overwrite").parquet(f"{pending_root}/batch={batch_id}")
         todo.unpersist()
+        if batch_id > 1:
+            # batch_id - 1 may still be re-read if this batch is retried; older ones never are
+            fs.delete(f"{pending_root}/batch={batch_id - 2}")
 
     _run_available(log_stream(spark, orders), batch_fn, f"{checkpoint.rstrip('/')}/stream")
     return made

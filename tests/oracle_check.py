@@ -15,6 +15,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
+# plan nodes that would mean rows leave the JVM
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -56,6 +59,7 @@ def check(spark, sf_dir, names=None):
         t0 = time.time()
         try:
             df = fn(spark, sf_dir)
+            plan = df._jdf.queryExecution().executedPlan().toString()
             rows = [tuple(r) for r in df.collect()]
             cols = df.columns
         except Exception as exc:  # noqa: BLE001
@@ -63,17 +67,21 @@ def check(spark, sf_dir, names=None):
             continue
         secs = round(time.time() - t0, 2)
         entry_ = {"rows": len(rows), "sec": secs}
+        python_nodes = [tok for tok in PYTHON_NODES if tok in plan]
+        if python_nodes:
+            entry_["python_nodes"] = python_nodes
         if name in oracle:
             cur = con.execute(oracle[name])
             ocols = [d[0] for d in cur.description]
             orows = cur.fetchall()
             entry_.update(oracle_rows=len(orows), cols_match=sorted(cols) == sorted(ocols),
                           hash_match=digest(cols, rows) == digest(ocols, orows))
-            entry_["ok"] = entry_["cols_match"] and entry_["hash_match"] and len(rows) == len(orows)
+            entry_["ok"] = (entry_["cols_match"] and entry_["hash_match"] and len(rows) == len(orows)
+                            and not python_nodes)
             if not entry_["cols_match"]:
                 entry_["cols"] = [sorted(cols), sorted(ocols)]
         else:
-            entry_["ok"] = True
+            entry_["ok"] = not python_nodes
             entry_["rows_only"] = True
         report[name] = entry_
     return report
