@@ -41,3 +41,17 @@ def unmatched(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def touched_by(orders: DataFrame, changed_customers: DataFrame) -> DataFrame:
     """Orders of customers that changed: rejoined so gold shows the new attributes."""
     return semi_join_keys(orders, changed_customers.select(JOIN_KEY), [JOIN_KEY], "left_semi")
+
+
+def split_join(orders: DataFrame, customers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One left join of orders with customers, split into (gold rows, unmatched orders).
+
+    Returns (gold, pending, joined); ``joined`` is persisted by the caller's choice; both outputs
+    read it, so the customers side is shuffled (or broadcast) once per run, not twice.
+    """
+    c = customers.select("customer_id", "name", "state", "city", "email", F.lit(True).alias("_matched"))
+    joined = orders.join(c, JOIN_KEY, "left")
+    gold = joined.where(F.col("_matched")).select(
+        *[F.col("ts").alias("order_ts") if g == "order_ts" else F.col(g) for g in GOLD_COLUMNS])
+    pending = joined.where(F.col("_matched").isNull()).select(*orders.columns)
+    return gold, pending, joined

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators import merge
-from strata.operators.join import GOLD_SQL, unmatched
+from strata.operators.join import GOLD_SQL, split_join, unmatched
 from strata.sources.raw import CORRUPT, FORMATS
 from strata.sources.table import KeyedTable
 from strata.spec import COMMIT, DELETED
@@ -104,15 +104,21 @@ def run_gold_stream(spark: SparkSession, orders: KeyedTable, customers: KeyedTab
         if batch_id > 0 and fs.exists(f"{prev}/_SUCCESS"):
             pend = session.read.parquet(prev).withColumn(COMMIT, F.lit(-1).cast("bigint"))
             todo = merge.upsert(pend, todo, keys, pre, "arrival")
-        todo = todo.drop(COMMIT, DELETED).persist(StorageLevel.MEMORY_AND_DISK)
+        todo = todo.drop(COMMIT, DELETED)
         cust = customers.snapshot().drop(COMMIT)
-        todo.createOrReplaceTempView("orders")
-        cust.createOrReplaceTempView("customers")
-        n = gold.write(session.sql(sql), "upsert", tag=f"{checkpoint}#{batch_id}")
+        if sql is GOLD_SQL:
+            rows, waiting, joined = split_join(todo, cust)
+            held = joined.persist(StorageLevel.MEMORY_AND_DISK)
+        else:
+            held = todo.persist(StorageLevel.MEMORY_AND_DISK)
+            held.createOrReplaceTempView("orders")
+            cust.createOrReplaceTempView("customers")
+            rows, waiting = session.sql(sql), unmatched(held, cust)
+        n = gold.write(rows, "upsert", tag=f"{checkpoint}#{batch_id}")
         if n is not None:
             made.append(n)
-        unmatched(todo, cust).write.mode("overwrite").parquet(f"{pending_root}/batch={batch_id}")
-        todo.unpersist()
+        waiting.write.mode("overwrite").parquet(f"{pending_root}/batch={batch_id}")
+        held.unpersist()
         if batch_id > 1:
             # batch_id - 1 may still be re-read if this batch is retried; older ones never are
             fs.delete(f"{pending_root}/batch={batch_id - 2}")
