@@ -143,3 +143,15 @@ def test_increment_after_filter_uses_partition_pruning(spark, tmp_root):
     plan = orders.increment(1)._jdf.queryExecution().executedPlan().toString()
     assert "commit=2" in plan or "PartitionFilters: [isnotnull(commit" in plan
     assert orders.increment(1).select(F.max("orderid")).first()[0] == 2
+
+
+def test_gold_with_user_sql(spark, tmp_root):
+    orders, customers, gold = _tables(spark, tmp_root)
+    orders.write(_o(spark, [(1, 10, "t1", 5.0, "LOW"), (2, 10, "t1", 6.0, "HIGH"), (3, 30, "t1", 1.0, "HIGH")]))
+    customers.write(_c(spark, [(10, "ann", "S1", "X", "a@x", "t0")]))
+    sql = """SELECT c.customer_id, c.name, c.state, c.city, upper(c.email) AS email, o.orderid,
+                    o.ts AS order_ts, o.order_value, o.priority
+             FROM customers c JOIN orders o ON c.customer_id = o.customer_id WHERE o.priority = 'HIGH'"""
+    run_gold(spark, orders, customers, gold, f"{tmp_root}/p", sql=sql)
+    assert [(r["orderid"], r["email"]) for r in gold.snapshot().collect()] == [(2, "A@X")]
+    assert [r["orderid"] for r in pending_orders(spark, f"{tmp_root}/p", "gold_orders", orders).collect()] == [3]
