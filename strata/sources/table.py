@@ -242,17 +242,21 @@ class KeyedTable:
             batch = session.sql(sql_transformer)
         if COMMIT in batch.columns:
             batch = batch.drop(COMMIT)
+        spec = self.spec
+        two_passes = spec.table_type == "cow" or method != "upsert"
+        if two_passes:
+            # the emptiness probe, the log write and the fold all read the batch: compute it once
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         if batch.isEmpty():
+            if two_passes:
+                batch.unpersist()
             return None
-        spec = self.spec
         n, done = self._claim(tag)
         if done:
+            if two_passes:
+                batch.unpersist()
             return n
         self._save_spec()
-        two_passes = spec.table_type == "cow" or method != "upsert"
-        if two_passes:
-            # the log write and the fold both scan the batch: compute it once
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         stamped = batch.withColumn(COMMIT, F.lit(n).cast("bigint"))
         if method == "upsert":
             log_rows = merge.precombine(stamped, spec.merge_keys, spec.precombine)
