@@ -38,7 +38,7 @@ HEADLINE = [
     "loader_views",
     "late_dimension",
     "bookmark_new_files",
-    "medallion_chain",
+    "layered_chain",
     "gold_stream",
 ]
 

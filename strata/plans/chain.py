@@ -68,9 +68,9 @@ class Chain:
     def run(self, spark: SparkSession, refresh_dim: bool = False) -> GoldRun:
         orders, customers, gold = self.tables(spark)
         ck = f"{self.root}/_checkpoints"
-        run_silver(spark, f"{self.root}/raw/customers", customers, CUSTOMERS_SCHEMA, f"{ck}/silver_customers",
+        run_silver(spark, f"{self.root}/raw/customers", customers, CUSTOMERS_SCHEMA, f"{ck}/ingest_customers",
                    quarantine=f"{self.root}/quarantine/customers")
-        run_silver(spark, f"{self.root}/raw/orders", orders, ORDERS_SCHEMA, f"{ck}/silver_orders",
+        run_silver(spark, f"{self.root}/raw/orders", orders, ORDERS_SCHEMA, f"{ck}/ingest_orders",
                    quarantine=f"{self.root}/quarantine/orders")
         return run_gold(spark, orders, customers, gold, f"{ck}/gold", refresh_dim=refresh_dim)
 

@@ -101,7 +101,7 @@ ORACLE: dict[str, str] = {
     "corrupt_quarantine": f"""
         SELECT t.* FROM ({ORDERS_TEXT}) t JOIN orders o ON t.orderid = CAST(o.o_orderkey AS VARCHAR)
         WHERE o.o_orderstatus <> 'P'""",
-    "medallion_chain": f"""
+    "layered_chain": f"""
         SELECT CAST(c.customer_id AS VARCHAR) AS customer_id, c.name, c.state, c.city, c.email,
                o.orderid, o.ts AS order_ts, o.order_value, o.priority
         FROM ({CUSTOMERS_FEED}) c JOIN ({ORDERS_TEXT}) o ON CAST(c.customer_id AS VARCHAR) = o.customer_id""",

@@ -336,7 +336,7 @@ def corrupt_quarantine(spark, d):
     return t.snapshot().drop(COMMIT)
 
 
-def medallion_chain(spark, d):
+def layered_chain(spark, d):
     """Raw JSON landing -> silver (streams) -> gold, in two rounds of landing."""
     root = scratch_dir(spark, "chain")
     chain = Chain(root)
@@ -406,7 +406,7 @@ QUERIES: dict[str, Query] = {
     "json_functions": json_functions,
     "bookmark_new_files": bookmark_new_files,
     "corrupt_quarantine": corrupt_quarantine,
-    "medallion_chain": medallion_chain,
+    "layered_chain": layered_chain,
     "gold_stream": gold_stream,
     "file_inventory": file_inventory_query,
     "column_stats": column_stats,
