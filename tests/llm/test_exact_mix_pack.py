@@ -1,0 +1,206 @@
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strata.llm import exact_dedup, mixing, packing
+from tests.llm.helpers import SF, WORD, docs_frame, documents, with_clashes
+
+
+# ------------------------------------------------------------------------------- exact dedup
+def brute_exact(rows, keep=max):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[1] or ""].append(r[0])
+    out = []
+    for text, ids in groups.items():
+        real = [i for i in ids if i is not None]
+        best = keep(real) if real else None
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        seen = False
+        for i in sorted(ids, key=lambda x: (x is not None, x or 0)):
+            kept = i == best and not seen
+            seen |= kept
+            out.append((i, best, len(ids), kept, sha))
+    return sorted(out, key=str)
+
+
+ODD = [(1, "a"), (2, "a"), (3, None), (4, ""), (5, "a "), (6, "x" * 200_000), (7, "x" * 200_000), (None, "a"), (2, "a"), (None, "only"),
+       (None, "only"), *[(i, "same prefix " * 20 + str(i % 7)) for i in range(100, 400)], *[(i, "hot") for i in range(1000, 1600)]]
+
+
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+def test_exact_dedup_odd_rows(spark, keep):
+    df = with_clashes(docs_frame(spark, ODD)).repartition(5)
+    got = exact_dedup.exact_dedup(df, keep=keep, partitions=7)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_exact(ODD, max if keep == "largest" else min)
+
+
+def test_exact_dedup_table_and_empty(spark):
+    got = exact_dedup.op9_exact_dedup(spark, SF)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_exact(documents(spark))
+    assert exact_dedup.exact_dedup(docs_frame(spark, [])).count() == 0
+
+
+def test_keep_rows(spark):
+    df = docs_frame(spark, ODD).repartition(3)
+    kept = [tuple(r)[:2] for r in exact_dedup.keep_rows(df).collect()]
+    assert sorted((hashlib.sha256((t or "").encode()).hexdigest(), i) for i, t in kept) == sorted(
+        ((r[4], r[0]) for r in brute_exact(ODD) if r[3]), key=str)
+
+
+def test_exact_dedup_normalise(spark):
+    from pyspark.sql import functions as F
+
+    got = exact_dedup.exact_dedup(docs_frame(spark, [(1, "A"), (2, "a")]), normalise=F.lower)
+    assert {r.keep_id for r in got.collect()} == {1}
+
+
+# ------------------------------------------------------------------------------------ mixing
+def brute_targets(sizes, weights=(5, 2, 1), cap=3.0):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, open_, out = float(min(sum(sizes.values()), cap * sum(sizes.values()))), set(names), {}
+    while open_:
+        unit = total / sum(w[s] for s in open_)
+        full = [s for s in open_ if unit * w[s] > cap * sizes[s]]
+        if not full:
+            out.update({s: unit * w[s] for s in open_})
+            break
+        for s in full:
+            out[s] = cap * sizes[s]
+            total -= out[s]
+            open_.remove(s)
+    return out
+
+
+def check_mix(rows, got):
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r[2]] += len(WORD.findall(r[1] or ""))
+    want = brute_targets(sizes)
+    assert len(got) == len(rows)
+    assert sorted((r.doc_id, r["size"]) for r in got if r.doc_id is not None) == sorted(
+        (r[0], len(WORD.findall(r[1] or ""))) for r in rows if r[0] is not None)
+    taken = defaultdict(int)
+    partial = defaultdict(int)
+    for r in got:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source])
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[r.source] += r.taken
+        partial[r.source] += 0 < r.cut < r["size"]
+    for s, t in taken.items():
+        assert t == round(want[s]) and partial[s] <= 1
+
+
+ROWS = [(i, "w " * (i % 50), "hot" if i % 3 else None) for i in range(3000)] + [
+    (9001, None, "a"), (9002, "", "b"), (9003, "x y", "a"), (9003, "x y", "a"), (None, "q q q", "c"), (9004, "long " * 9000, "ä")]
+
+
+def test_mix_odd_rows(spark):
+    df = with_clashes(docs_frame(spark, ROWS).repartition(5))
+    got = mixing.mix(df).collect()
+    check_mix(ROWS, got)
+    again = mixing.mix(df.repartition(2)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    # order inside a source is by key: nobody behind the cut is taken more than somebody before it
+    hot = sorted((r for r in got if r.source == "hot" and r["size"]), key=lambda r: (r.key, r.doc_id))
+    level = [r.taken / r["size"] for r in hot]
+    assert level == sorted(level, reverse=True)
+
+
+def test_mix_table_and_empty(spark):
+    check_mix(documents(spark), mixing.mix(spark.read.parquet(f"{SF}/documents.parquet")).collect())
+    assert mixing.mix(docs_frame(spark, [])).count() == 0
+    assert mixing.take(docs_frame(spark, [])).count() == 0
+
+
+def test_take_materialises_the_plan(spark):
+    rows = [r for r in ROWS if r[0] is not None and r[0] != 9003]
+    df = docs_frame(spark, rows)
+    plan = {r.doc_id: r for r in mixing.mix(df).collect()}
+    out = mixing.take(df)
+    assert out.columns == df.columns
+    words = defaultdict(int)
+    for r in out.collect():
+        words[r.doc_id] += len(WORD.findall(r.text))
+        assert r.n_chars == len(r.text)
+    assert {k: v for k, v in words.items()} == {k: r.taken for k, r in plan.items() if r.taken}
+
+
+# ----------------------------------------------------------------------------------- packing
+def whole():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(packing.tokenizer_path())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from("ab 'stre\n\t\r\x0b\x85\xa0éÀß×²½9_.,!\x1c­µ"), max_size=30) | st.text(max_size=20))
+def test_encoder_equals_tokenizers(text):
+    if not hasattr(test_encoder_equals_tokenizers, "pair"):
+        test_encoder_equals_tokenizers.pair = packing.Encoder(packing.tokenizer_path()), whole()
+    fast, slow = test_encoder_equals_tokenizers.pair
+    for t in (text, text + " <|endoftext|> x"):
+        assert fast(t).tolist() == slow.encode(t, add_special_tokens=False).ids
+
+
+def test_shortest_pack_first_places_all():
+    rng = np.random.default_rng(1)
+    histogram = {int(n): int(c) for n, c in zip(*np.unique(rng.integers(1, 129, 5000), return_counts=True))}
+    patterns = packing.shortest_pack_first(histogram, 128)
+    placed = defaultdict(int)
+    for n, p in patterns:
+        assert sum(p) <= 128 and n > 0
+        for length in p:
+            placed[length] += n
+    assert dict(placed) == histogram
+    assert sum(n for n, _ in patterns) < 1.05 * sum(k * c for k, c in histogram.items()) / 128
+    assert packing.shortest_pack_first({}, 8) == []
+
+
+def check_pack(rows, got, capacity=2048):
+    tok = whole()
+    want = defaultdict(int)
+    for i, text, *_ in rows:
+        ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        for start in range(0, len(ids), capacity):
+            part = ids[start:start + capacity]
+            want[(i, start, len(part), zlib.crc32(part.tobytes()), len(ids))] += 1
+    have = defaultdict(int)
+    for r in got:
+        have[tuple(r)[:5]] += 1
+    assert have == want
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+PACK = [(1, "hello world"), (2, None), (3, ""), (4, "word " * 5000), (1, "hello world"), (None, "x"), (5, "日本語 text <|endoftext|>"),
+        *[(i, "copy of one text") for i in range(10, 400)], *[(i, "a b " * (i % 37)) for i in range(500, 900)]]
+
+
+def test_pack_odd_rows(spark):
+    got = packing.pack(with_clashes(docs_frame(spark, PACK)).repartition(4)).collect()
+    tokens = sum(r.length for r in got)
+    assert check_pack(PACK, got) <= tokens / 2048 * 1.1 + 2
+
+
+def test_pack_table_and_empty(spark):
+    rows = documents(spark)
+    packed = packing.op7_packing(spark, SF)
+    check_pack(rows, packed.collect())
+    got = packing.padding(packed).first()
+    assert got.padded < 0.05 * got.tokens
+    assert packing.pack(docs_frame(spark, [])).count() == 0
