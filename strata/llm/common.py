@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,6 +86,12 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return table.to_batches()[0]
 
 
+def gather(batches: Iterable[pa.RecordBatch], *names: str) -> list[np.ndarray]:
+    """Whole long columns of a partition that is bounded by its shuffle."""
+    parts = [[batch.column(name).to_numpy(zero_copy_only=False) for name in names] for batch in batches if batch.num_rows]
+    return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(len(names))]
+
+
 def held_out(doc_id: Column, remainder: int) -> Column:
     """crc32 of the id as text, mod 5, equals ``remainder`` (a null id counts as empty text)."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5) == remainder

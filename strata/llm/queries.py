@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, mixing, packing
+from strata.llm import exact_dedup, mixing, packing, simhash
 
 QUERIES = {
+    "op2_simhash": simhash.op2_simhash,
     "op4_mixing": mixing.op4_mixing,
     "op7_packing": packing.op7_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
