@@ -9,15 +9,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import exact_dedup, mixing, packing
+from strata.llm import exact_dedup, mixing, packing, simhash, toxicity
 from strata.llm.common import load, scratch_table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below 0.5 stay; the score is learned from the labelled rows of ``sf_dir``."""
+    return toxicity.keep_clean(docs, load(spark, sf_dir, "labels"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the largest id stays."""
     return exact_dedup.keep_rows(docs, keep="largest")
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints stays (three-word shingles, 3 bits)."""
+    return simhash.keep_rows(docs, shingle=3, max_bits=3)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; a cut document has its first words only."""
     return mixing.take(docs)
@@ -29,7 +39,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_exact_copies),
+    ("simhash", drop_near_copies),
     ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]

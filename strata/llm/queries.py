@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, mixing, packing, simhash
+from strata.llm import exact_dedup, mixing, packing, simhash, toxicity
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,
     "op7_packing": packing.op7_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,

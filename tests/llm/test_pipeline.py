@@ -1,0 +1,51 @@
+"""The chained stages against brute-force versions of each decision."""
+
+from collections import defaultdict
+
+import corpus_pipeline
+from strata.llm.common import load
+from tests.llm.helpers import WORD
+from tests.llm.test_exact_mix_pack import brute_targets, check_pack
+from tests.llm.test_simhash import brute_fp, brute_groups
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash", "mixing", "packing"]
+    docs = load(spark, SF, "documents")
+    columns, rows = docs.columns, {r.doc_id: r for r in docs.collect()}
+    stages = [f for _, f in corpus_pipeline.STAGES]
+
+    clean = stages[0](spark, docs, SF)
+    assert clean.columns == columns
+    kept = {r.doc_id: r for r in clean.collect()}
+    assert len(rows) * 0.7 < len(kept) <= len(rows) and all(rows[i] == r for i, r in kept.items())
+
+    unique = stages[1](spark, spark.createDataFrame(list(kept.values()), docs.schema), SF)
+    last = {r.text: max(x.doc_id for x in kept.values() if x.text == r.text) for r in kept.values()}
+    got = {r.doc_id: r for r in unique.collect()}
+    assert unique.columns == columns and sorted(got) == sorted(last.values())
+
+    near = stages[2](spark, spark.createDataFrame(list(got.values()), docs.schema), SF)
+    fps = [(r.doc_id, brute_fp(r.text)) for r in got.values()]
+    want = sorted(i for (i, _), c in zip(fps, brute_groups(fps)) if i == c)
+    left = {r.doc_id: r for r in near.collect()}
+    assert near.columns == columns and sorted(left) == want
+
+    mixed = stages[3](spark, spark.createDataFrame(list(left.values()), docs.schema), SF)
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in left.values():
+        sizes[r.source] += len(WORD.findall(r.text or ""))
+    out = mixed.collect()
+    for r in out:
+        taken[r.source] += len(WORD.findall(r.text))
+    assert mixed.columns == columns and dict(taken) == {s: round(t) for s, t in brute_targets(sizes).items()}
+
+    packed = stages[4](spark, spark.createDataFrame(out, docs.schema), SF).collect()
+    check_pack([(r.doc_id, r.text) for r in out], packed)
+
+
+def test_run(spark):
+    out = corpus_pipeline.run(spark, SF)
+    assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 100
