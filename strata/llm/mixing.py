@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import WORD, load, scratch_table
 
-RANGE_ROWS = 2048
+RANGE_ROWS = 512
 KEY_BITS = 62
 SEED = 20240817
 

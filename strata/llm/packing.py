@@ -32,7 +32,7 @@ from strata.llm.common import load, scratch_table, slices
 
 END = 1
 CAPACITY = 2048
-RANGE_ROWS = 2048
+RANGE_ROWS = 512
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, doc_tokens long"
 _CACHE_WORDS = 400_000
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, mixing, packing, simhash, toxicity
+from strata.llm import exact_dedup, mixing, packing, simhash, substring_dedup, topk_search, toxicity
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_packing": packing.op7_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_topk": topk_search.op10_topk,
 }
 
 ORACLE = {
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op10_topk": topk_search.ORACLE_SQL,
 }
