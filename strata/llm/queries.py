@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, mixing, packing, simhash, substring_dedup, topk_search, toxicity
+from strata.llm import exact_dedup, mixing, packing, personal_data, simhash, substring_dedup, topk_search, toxicity
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_mixing": mixing.op4_mixing,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_packing": packing.op7_packing,
+    "op8_personal_data": personal_data.op8_personal_data,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_topk": topk_search.op10_topk,
 }
