@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, mixing, packing, personal_data, simhash, substring_dedup, topk_search, toxicity
+from strata.llm import exact_dedup, lm_score, mixing, packing, personal_data, simhash, substring_dedup, topk_search, toxicity
 
 QUERIES = {
+    "op1_lm_score": lm_score.op1_lm_score,
     "op2_simhash": simhash.op2_simhash,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,

@@ -1,0 +1,80 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from strata.llm import lm_score
+from strata.llm.common import held_out
+from tests.llm.helpers import SF, docs_frame, documents, with_clashes
+
+
+def brute_marginal(word, pieces, log_p):
+    """Forward recursion of one marked word over a dict of pieces."""
+    p = dict(zip(pieces, log_p))
+    text, a = b" " + word, [0.0]
+    for j in range(1, len(text) + 1):
+        v = [a[i] + p[text[i:j]] for i in range(max(0, j - 64), j) if text[i:j] in p]
+        top = max(v)
+        a.append(top + math.log(sum(math.exp(x - top) for x in v)))
+    return a[-1]
+
+
+def test_lattice_marginals_and_expected_counts():
+    pieces, log_p = lm_score.vocabulary(lm_score.vocabulary_path())
+    assert np.isclose(np.exp(log_p).sum(), 1)
+    words = [b"the", b"thatishe", "été".encode(), b"\xff\x00", b"x", b"q" * 300, b"international", "日本".encode()]
+    lattice = lm_score.Lattice(pieces)
+    got, counts = lattice.run(words, log_p, np.arange(1.0, len(words) + 1))
+    for w, x in zip(words, got):
+        assert x == pytest.approx(brute_marginal(w, pieces, log_p))
+    # the expected counts spell the words: pieces times their lengths add up to all bytes
+    assert (counts * [len(p) for p in pieces]).sum() == pytest.approx(sum((len(w) + 1) * (i + 1) for i, w in enumerate(words)))
+
+
+def check_base(rows, got):
+    out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    tokens = [(r[0], [*(r[1] or "").encode().lower().split(), None]) for r in rows]
+    c = Counter(t for i, ts in tokens if not out(i) for t in ts)
+    n, v = sum(c.values()), len(c)
+    want = sorted(((i, out(i), len(ts), sum(c[t] > 0 for t in ts), n, sum(math.log10((c[t] + .5) / (n + .5 * (v + 1))) for t in ts)) for i, ts in tokens), key=str)
+    have = sorted((tuple(r)[:6] for r in got), key=str)
+    assert [w[:5] for w in want] == [h[:5] for h in have]
+    assert np.allclose([w[5] for w in want], [h[5] for h in have])
+
+
+ROWS = [(1, "The the THE cat"), (2, None), (3, ""), (4, "a " * 20_000), (None, "null id"), (5, "caté \x1c 日本 cat"), (5, "caté \x1c 日本 cat"),
+        *[(i, f"w{i % 13} the") for i in range(10, 60)]]
+
+
+def test_odd_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    got = lm_score.lm_score(with_clashes(docs_frame(spark, ROWS).repartition(3)), held_out(F.col("doc_id"), 1)).collect()
+    check_base(ROWS, got)
+    by = {r.doc_id: r.score for r in got}
+    assert by[2] == by[3] and all(math.isfinite(s) and s < 0 for s in by.values())
+    assert lm_score.lm_score(docs_frame(spark, []), held_out(F.col("doc_id"), 1)).count() == 0
+    alone = lm_score.lm_score(docs_frame(spark, ROWS[:3]), F.lit(True)).collect()
+    assert {r.train_tokens for r in alone} == {0} and all(math.isfinite(r.score) for r in alone)
+
+
+def test_table(spark):
+    got = lm_score.op1_lm_score(spark, SF).collect()
+    check_base(documents(spark), got)
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > sum(r.lattice_score for r in held)
+    # the base spends one count on each unseen word; on known words the model is not behind
+    known = [r for r in got if r.n_known == r.n_tokens > 50]
+    assert known and sum(r.score for r in known) > 1.06 * sum(r.base_score for r in known)
+
+
+def test_score_is_a_probability():
+    """Whole-word arcs and lattice together never exceed one over all short words."""
+    import itertools
+
+    pieces, log_p = lm_score.vocabulary(lm_score.vocabulary_path())
+    lattice = lm_score.Lattice(pieces)
+    words = [bytes(w) for n in (1, 2) for w in itertools.product(range(33, 127), repeat=n)]
+    assert 0.0 < np.exp(lattice.run(words, log_p)[0]).sum() < 1
