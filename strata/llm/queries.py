@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, lm_score, mixing, packing, personal_data, simhash, substring_dedup, topk_search, toxicity
+from strata.llm import exact_dedup, lm_score, mixing, packing, personal_data, simhash, substring_dedup, suffix_dedup, topk_search, toxicity
 
 QUERIES = {
     "op1_lm_score": lm_score.op1_lm_score,
     "op2_simhash": simhash.op2_simhash,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_packing": packing.op7_packing,
     "op8_personal_data": personal_data.op8_personal_data,
