@@ -158,11 +158,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, c -> CAST(floor(64 * CAST(c AS DOUBLE)) AS DOUBLE)) AS x
+  SELECT vec_id, [CAST(floor(64 * CAST(c AS DOUBLE)) AS DOUBLE) for c in embedding] AS x
   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+    AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
-SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
-QUALIFY row_number() OVER w <= 20 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)"""
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
