@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -47,9 +45,3 @@ def regex_search(col: str | Column, pattern: str) -> Column:
     """True where the pattern occurs anywhere in the text."""
     c = col if isinstance(col, Column) else F.col(col)
     return c.rlike(pattern)
-
-
-def to_text(cols: Iterable[str], df: DataFrame) -> DataFrame:
-    """Cast the given columns to string, leaving the rest as they are."""
-    wanted = set(cols)
-    return df.select(*[F.col(c).cast("string").alias(c) if c in wanted else F.col(c) for c in df.columns])

@@ -18,12 +18,17 @@ GOLD_COLUMNS = ("customer_id", "name", "state", "city", "email", "orderid", "ord
 GOLD_KEYS = "orderid,customer_id"
 JOIN_KEY = "customer_id"
 
-GOLD_SQL = """
-SELECT c.customer_id, c.name, c.state, c.city, c.email,
-       o.orderid, o.ts AS order_ts, o.order_value, o.priority
-FROM customers c
-JOIN orders o ON c.customer_id = o.customer_id
-"""
+_CUSTOMER_COLUMNS = GOLD_COLUMNS[:5]
+_SOURCE = {"order_ts": "ts"}
+
+
+def _gold_sql() -> str:
+    """The join as text over the views ``orders`` / ``customers``, for jobs that take user SQL."""
+    fields = [f"{'c' if g in _CUSTOMER_COLUMNS else 'o'}.{_SOURCE.get(g, g)} AS {g}" for g in GOLD_COLUMNS]
+    return f"SELECT {', '.join(fields)} FROM orders o JOIN customers c ON o.{JOIN_KEY} = c.{JOIN_KEY}"
+
+
+GOLD_SQL = _gold_sql()
 
 
 def gold_join(orders: DataFrame, customers: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ Scale notes
     ``= 1`` filter into a WindowGroupLimit that runs *before* the shuffle as well, so a key
     that holds a third of the rows is cut to one row per map task before it is exchanged.
   * an upsert never shuffles the stored rows against themselves: only keys present in the
-    batch can change, so stored rows meet the batch through a semi/anti join on the keys.
-    The batch-key side is small in the normal case and Catalyst / AQE broadcast it when its
-    measured size is under ``autoBroadcastJoinThreshold``; otherwise it is a sort-merge join
-    with AQE skew splitting.
+    batch can change, so stored rows meet the batch's distinct keys in an anti join (arrival)
+    or its winners in one full outer join (event_time).  The key side is small in the normal
+    case and Catalyst / AQE broadcast it when its measured size is under
+    ``autoBroadcastJoinThreshold``; otherwise it is a sort-merge join with AQE skew splitting.
 """
 
 from __future__ import annotations
@@ -70,9 +70,12 @@ def snapshot_order(df: DataFrame, keys, precombine, ordering: str) -> list[Colum
 
 
 def _key_frame(batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
-    """Batch keys renamed apart, and the null-safe match condition against them."""
+    """Distinct batch keys renamed apart, and the null-safe match condition against them.
+
+    Distinct aggregates before its exchange, so a key that holds a third of the batch reaches
+    the join once and not as one unsplittable reducer."""
     renamed = [f"__key_{i}" for i in range(len(keys))]
-    kf = batch.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
+    kf = batch.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).distinct()
     cond = None
     for k, r in zip(keys, renamed):
         c = F.col(k).eqNullSafe(F.col(r))
@@ -97,20 +100,37 @@ def upsert(base: DataFrame | None, batch: DataFrame, keys, precombine: str | Non
     keys = key_list(keys)
     if ordering not in ("arrival", "event_time"):
         raise ValueError(f"unknown ordering {ordering!r}")
+    winners = latest_per_key(batch, keys, snapshot_order(batch, keys, precombine, ordering))
     if base is None:
-        return latest_per_key(batch, keys, snapshot_order(batch, keys, precombine, ordering))
+        return winners
     if ordering == "arrival":
-        winners = precombine_batch(batch, keys, precombine)
-        kept = semi_join_keys(base, winners, keys, "left_anti")
+        kept = semi_join_keys(base, batch, keys, "left_anti")
         return kept.unionByName(winners, allowMissingColumns=True)
-    kept = semi_join_keys(base, batch, keys, "left_anti")
-    contested = semi_join_keys(base, batch, keys, "left_semi").unionByName(batch, allowMissingColumns=True)
-    winners = latest_per_key(contested, keys, snapshot_order(contested, keys, precombine, "event_time"))
-    return kept.unionByName(winners, allowMissingColumns=True)
+    return _greater_of(base, winners, keys, precombine)
+
+
+def _greater_of(base: DataFrame, winners: DataFrame, keys: Sequence[str], precombine_col: str | None) -> DataFrame:
+    """event_time upsert in one pass over the stored rows: one full outer join on the key, and of
+    the two rows that meet the greater one by (precombine, commit, remaining columns)."""
+    types = dict(base.dtypes) | {c: t for c, t in winners.dtypes if c not in base.columns}
+    columns = list(types)
+    lead = [c for c in (precombine_col, COMMIT) if c and c in columns]
+    rank = lead + [c for c in columns if c not in lead and c not in keys and _orderable(types[c])]
 
+    def side(df: DataFrame, name: str) -> DataFrame:
+        full = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in columns])
+        return full.select(*[F.col(k).alias(f"__{name}{i}") for i, k in enumerate(keys)],
+                           F.struct(*[F.col(c) for c in rank]).alias(f"__{name}_rank"),
+                           F.struct(*[F.col(c) for c in columns]).alias(f"__{name}"))
 
-def precombine_batch(batch: DataFrame, keys, precombine_col: str | None) -> DataFrame:
-    return precombine(batch, keys, precombine_col)
+    cond = None
+    for i in range(len(keys)):
+        c = F.col(f"__old{i}").eqNullSafe(F.col(f"__new{i}"))
+        cond = c if cond is None else cond & c
+    met = side(base, "old").join(side(winners, "new"), cond, "full_outer")
+    row = (F.when(F.col("__old").isNull(), F.col("__new")).when(F.col("__new").isNull(), F.col("__old"))
+           .when(F.col("__old_rank") > F.col("__new_rank"), F.col("__old")).otherwise(F.col("__new")))
+    return met.select(row.alias("__row")).select("__row.*")
 
 
 def insert_if_absent(base: DataFrame, batch: DataFrame, keys, precombine_col: str | None = None) -> DataFrame:
@@ -156,6 +176,8 @@ def apply_write(base: DataFrame | None, batch: DataFrame, method: str, keys, pre
         return upsert(base, batch, keys, precombine_col, ordering)
     if method in ("insert", "bulk_insert"):
         return bulk_insert(base, batch)
+    if method == "insert_if_absent":
+        return precombine(batch, keys, precombine_col) if base is None else insert_if_absent(base, batch, keys, precombine_col)
     if method == "insert_overwrite":
         return batch if base is None else insert_overwrite(base, batch, partition_by)
     if base is None:
@@ -163,9 +185,57 @@ def apply_write(base: DataFrame | None, batch: DataFrame, method: str, keys, pre
     return delete_keys(base, batch, keys)
 
 
+def fold_log(log: DataFrame, keys, precombine_col=None, ordering="arrival") -> DataFrame:
+    """All upserts of a commit-stamped log at once: one scan, one exchange.
+
+    Upserts are associative, so the newest commit (arrival) or greatest precombine (event_time)
+    of a key among *all* rows is what applying the commits one after the other leaves."""
+    keys = key_list(keys)
+    return latest_per_key(log, keys, snapshot_order(log, keys, precombine_col, ordering))
+
+
 def fold_batches(batches: Sequence[DataFrame], keys, precombine_col=None, ordering="arrival") -> DataFrame:
-    """Apply upserts batch after batch (oldest first)."""
-    out = None
-    for b in batches:
-        out = upsert(out, b, keys, precombine_col, ordering)
-    return out
+    """Apply upserts batch after batch (oldest first), as one ``fold_log`` over their union."""
+    stamped = COMMIT in batches[0].columns
+    log = None
+    for i, b in enumerate(batches):
+        b = b if stamped else b.withColumn(COMMIT, F.lit(i).cast("bigint"))
+        log = b if log is None else log.unionByName(b, allowMissingColumns=True)
+    out = fold_log(log, keys, precombine_col, ordering)
+    return out if stamped else out.drop(COMMIT)
+
+
+def fold_tail(base: DataFrame | None, tail: DataFrame, methods: dict[int, str], keys, precombine_col=None,
+              ordering: str = "arrival", partition_by=()) -> DataFrame:
+    """Rows after the commits of a log tail of any write methods (tombstones are still in).
+
+    A commit that upserts or deletes a key ends every older row of that key; one that overwrites
+    a partition ends every older row of it; inserts end nothing.  So each row meets the newest
+    commit that ended its key and its partition (aggregated before the exchange), and stored
+    rows meet the same keys in one anti join.
+    """
+    keys, parts = key_list(keys), key_list(partition_by)
+    keyed = [c for c, m in methods.items() if m in ("upsert", "delete")]
+    replaced = [c for c, m in methods.items() if m == "insert_overwrite"]
+    if len(keyed) == len(methods):
+        return upsert(base, tail, keys, precombine_col, ordering)
+    if ordering != "arrival":
+        raise ValueError("only upserts can be folded by event time")
+    rows, old = tail, base
+    for commits, by in ((keyed, keys), (replaced, parts)):
+        if not commits:
+            continue
+        if not by:  # no partitions: the whole table was replaced
+            old, rows = None, rows.where(F.col(COMMIT) >= max(commits))
+            continue
+        names = [f"__by_{i}" for i in range(len(by))]
+        ended = (tail.where(F.col(COMMIT).isin(commits)).groupBy(*[F.col(k).alias(n) for k, n in zip(by, names)])
+                 .agg(F.max(COMMIT).alias("__ended")))
+        cond = None
+        for k, n in zip(by, names):
+            c = F.col(k).eqNullSafe(F.col(n))
+            cond = c if cond is None else cond & c
+        if old is not None:
+            old = old.join(ended, cond, "left_anti")
+        rows = rows.join(ended, cond, "left").where(F.col("__ended").isNull() | (F.col(COMMIT) >= F.col("__ended"))).drop(*names, "__ended")
+    return rows if old is None else old.unionByName(rows, allowMissingColumns=True)

@@ -65,7 +65,7 @@ def last_commit(df: DataFrame) -> DataFrame:
     return df.agg(F.max(COMMIT).alias("last_commit"))
 
 
-def commit_list(df: DataFrame, limit: int = 50) -> DataFrame:
+def commit_list(df: DataFrame, limit: int) -> DataFrame:
     """Distinct commits ascending, the first ``limit`` of them (a top-k)."""
     return df.select(COMMIT).distinct().orderBy(COMMIT).limit(limit)
 

@@ -2,13 +2,15 @@
 ``gold_orders`` keyed on (orderid, customer_id).
 
 Per run (one consumer, progress keyed by consumer and source):
-  1. since = last processed orders commit (first run: earliest commit - 1); upto = last commit
-  2. todo  = orders increment (since, upto]  ∪  orders left pending by the previous run
+  1. since = last processed orders commit (none on the first run); upto = last commit
+  2. todo  = orders increment (since, upto] (first run: the snapshot, complete even where old
+             log commits are gone)  ∪  orders left pending by the previous run
              [∪ orders of customers that changed, when ``refresh_dim``]
   3. gold rows = todo ⋈ customer snapshot (the SQL, or any user SQL over views
      ``orders`` / ``customers``) -> keyed upsert into gold, tagged with the run number
   4. todo rows without a customer are kept as ``pending/run=<k>`` for the next run
-  5. progress is written last; a rerun after a failure repeats the same run idempotently
+  5. orders deleted in the range leave gold and the pending rows
+  6. progress is written last; a rerun after a failure repeats the same run idempotently
 """
 
 from __future__ import annotations
@@ -22,9 +24,8 @@ from pyspark.sql.types import StructType
 
 from strata.operators import merge
 from strata.operators.join import GOLD_KEYS, GOLD_SQL, split_join, touched_by, unmatched
-from strata.plans.loader import first_since
 from strata.sources.table import KeyedTable
-from strata.spec import COMMIT, TableSpec
+from strata.spec import COMMIT, DELETED, TableSpec
 from strata.streaming.progress import Progress
 
 
@@ -60,20 +61,28 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
     prev = run - 1 if run > 0 else None
     if upto is None or c_upto is None:
         return GoldRun(run, since, upto, None)
-    first = since is None
-    if first:
-        since = first_since(orders)
     cust_changed = c_since is not None and c_upto > c_since
     dim_changed = refresh_dim and cust_changed
-    if upto <= since and not (cust_changed and (refresh_dim or _has_pending(progress, prev))):
+    fresh = since is None or upto > since
+    if not fresh and not (cust_changed and (refresh_dim or _has_pending(progress, prev))):
         # nothing new: no increment, and no customer arrived for a pending order
         return GoldRun(run, since, upto, None)
 
-    todo = orders.increment(since, until=upto) if upto > since else orders.snapshot().limit(0)
+    gone = None
+    if since is None:
+        todo = orders.snapshot()
+    elif fresh:
+        todo = orders.increment(since, until=upto)
+        if "delete" in orders.log_methods(since, upto).values():
+            gone = orders.increment(since, until=upto, with_deletes=True).where(DELETED).select(*orders.spec.keys)
+    else:
+        todo = orders.snapshot().limit(0)
     pend = _read_pending(spark, orders, progress, prev)
     if pend is not None:
         # an order still pending may have a newer version in this increment: newest wins
         todo = merge.upsert(pend, todo, orders.spec.merge_keys, orders.spec.precombine, "arrival")
+        if gone is not None:
+            todo = merge.delete_keys(todo, gone, orders.spec.keys)
     cust = customers.snapshot()
     if dim_changed:
         changed = customers.increment(c_since, until=c_upto)
@@ -82,23 +91,35 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
 
     todo = todo.drop(COMMIT)
     cust = cust.drop(COMMIT)
+    # a rerun of the same range finds its gold commit; a wider range or a reset is a new one
+    tag = f"{progress.dir}#{progress.generation()}:{run}:{since}:{upto}:{c_upto}"
     if sql is GOLD_SQL:
         # one left join serves both outputs: the customers side is exchanged once per run
-        rows, waiting, joined = split_join(todo, cust)
-        held = joined.persist(StorageLevel.MEMORY_AND_DISK)
+        rows, waiting, held = split_join(todo, cust)
     else:
-        held = todo.persist(StorageLevel.MEMORY_AND_DISK)
-        held.createOrReplaceTempView("orders")
-        cust.createOrReplaceTempView("customers")
-        rows, waiting = held.sparkSession.sql(sql), unmatched(held, cust)
-    # a rerun of the same range reuses (or skips) its gold commit; a wider range is a new commit
-    commit = gold.write(rows, "upsert", tag=f"{consumer}:{run}:{since}:{upto}:{c_upto}")
-    waiting.write.mode("overwrite").parquet(_pending_path(progress, run))
-    held.unpersist()
+        held = todo
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if sql is not GOLD_SQL:
+            held.createOrReplaceTempView("orders")
+            cust.createOrReplaceTempView("customers")
+            rows, waiting = held.sparkSession.sql(sql), unmatched(held, cust)
+        commit = gold.write(rows, "upsert", tag=tag)
+        waiting.write.mode("overwrite").parquet(_pending_path(progress, run))
+    finally:
+        held.unpersist()
+    if gone is not None:
+        doomed = merge.semi_join_keys(gold.snapshot(), gone, orders.spec.keys, "left_semi").select(*gold.spec.merge_keys)
+        removed = gold.write(doomed, "delete", tag=f"{progress.dir}/deletes{tag[len(progress.dir):]}")
+        commit = commit if removed is None else removed
+    # fixed values: the keys of a progress entry
     progress.write({
-        o_src: {"table_name": o_src, "path": orders.root, "last_processed_commit": max(upto, since)},
+        o_src: {"table_name": o_src, "path": orders.root, "last_processed_commit": upto if since is None else max(upto, since)},
         c_src: {"table_name": c_src, "path": customers.root, "last_processed_commit": c_upto},
     })
+    orders.passed(progress.dir, upto if since is None else max(upto, since))
+    if refresh_dim:
+        customers.passed(progress.dir, c_upto)
     if prev is not None:
         # the previous run's pending rows are superseded once this run's progress is durable
         progress.fs.delete(_pending_path(progress, prev))

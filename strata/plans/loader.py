@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.sources.table import KeyedTable, open_table
 from strata.streaming.progress import Progress
 
+# The load types of a loader entry.
 TYPES = ("FULL", "INC")
 
 
@@ -24,18 +25,16 @@ class Loaded:
     views: dict[str, DataFrame]
     progress: Progress | None = None
     pending: dict[str, dict] = field(default_factory=dict)
+    tables: list[tuple[KeyedTable, int]] = field(default_factory=list)
 
     def commit(self) -> dict | None:
         """Record the INC sources as processed up to the commit each one was read at."""
         if self.progress is None or not self.pending:
             return None
-        return self.progress.write(self.pending)
-
-
-def first_since(table: KeyedTable) -> int | None:
-    """Exclusive lower bound that makes a first increment complete (earliest commit - 1)."""
-    cs = table.log_commits()
-    return cs[0] - 1 if cs else None
+        doc = self.progress.write(self.pending)
+        for table, done in self.tables:
+            table.passed(f"{self.progress.dir}", done)
+        return doc
 
 
 def load_sources(spark: SparkSession, sources: list[dict], progress_root: str | None = None,
@@ -46,6 +45,7 @@ def load_sources(spark: SparkSession, sources: list[dict], progress_root: str |
     progress = Progress(spark, progress_root, consumer) if progress_root else None
     views: dict[str, DataFrame] = {}
     pending: dict[str, dict] = {}
+    tables: list[tuple[KeyedTable, int]] = []
     for s in sources:
         name, path = s["table_name"], s["path"]
         table = open_table(spark, path)
@@ -57,14 +57,16 @@ def load_sources(spark: SparkSession, sources: list[dict], progress_root: str |
             last = table.last_commit()
             since = progress.last_processed(name)
             if since is None:
-                since = first_since(table)
-            if last is None or since is None or last <= since:
+                # a first read is the snapshot: complete even where old log commits are gone
+                df = table.snapshot()
+            elif last is None or last <= since:
                 df = table.snapshot().limit(0)
             else:
                 df = table.increment(since, until=last)
             if last is not None:
                 done = last if since is None else max(last, since)
                 pending[name] = {"table_name": name, "path": path, "last_processed_commit": done}
+                tables.append((table, done))
         df.createOrReplaceTempView(name)
         views[name] = df
-    return Loaded(views, progress, pending)
+    return Loaded(views, progress, pending, tables)

@@ -46,9 +46,9 @@ ORACLE: dict[str, str] = {
     "upsert_global_scope": ARRIVAL_USER,
     "composite_key_upsert": ARRIVAL_USER_TYPE,
     "insert_if_absent": f"""
-        WITH e AS (SELECT {EVC}, CAST(ts AS DATE) AS day FROM events),
-        base AS (SELECT * FROM e WHERE "commit" = 0 {_rn('user_id, day', 'ts DESC')}),
-        batch AS (SELECT * FROM e WHERE "commit" > 0 {_rn('user_id, day', '"commit" DESC, ts DESC')})
+        WITH e AS (SELECT {EV}, CAST(ts AS DATE) AS day, event_id % 4 AS arrival FROM events),
+        base AS (SELECT *, CAST(0 AS BIGINT) AS "commit" FROM e WHERE arrival = 0 {_rn('user_id, day', 'ts DESC')}),
+        batch AS (SELECT *, CAST(1 AS BIGINT) AS "commit" FROM e WHERE arrival > 0 {_rn('user_id, day', 'ts DESC, event_id DESC')})
         SELECT * FROM base
         UNION ALL
         SELECT * FROM batch b
@@ -57,9 +57,8 @@ ORACLE: dict[str, str] = {
         SELECT *, CAST(0 AS BIGINT) AS "commit" FROM orders o
         WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_orderkey = o.o_orderkey)""",
     "insert_overwrite_partition": f"""
-        SELECT {EV}, CAST(0 AS BIGINT) AS "commit" FROM events WHERE event_id % 4 < 2 AND event_type <> 'click'
-        UNION ALL
-        SELECT {EV}, CAST(1 AS BIGINT) AS "commit" FROM events WHERE event_id % 4 >= 2 AND event_type = 'click'""",
+        SELECT {EV}, CAST(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS BIGINT) AS "commit"
+        FROM events WHERE event_type <> 'click' OR event_id % 2 = 0""",
     "bulk_insert": """
         SELECT *, CAST(0 AS BIGINT) AS "commit" FROM orders
         UNION ALL
@@ -92,7 +91,7 @@ ORACLE: dict[str, str] = {
     "parquet_scan": "SELECT * FROM orders",
     "row_count": "SELECT count(*) AS row_count FROM lineitem",
     "partitioned_read": f"""SELECT *, CAST(0 AS BIGINT) AS "commit" FROM ({CUSTOMERS_FEED}) WHERE state IN ('NATION_2', 'NATION_7')""",
-    "clustered_rewrite": f'SELECT *, CAST(0 AS BIGINT) AS "commit" FROM ({ORDERS_FEED})',
+    "clustered_rewrite": f'SELECT *, CAST(0 AS BIGINT) AS "commit", true AS in_order FROM ({ORDERS_FEED})',
     "file_sizing": f'SELECT *, CAST(0 AS BIGINT) AS "commit" FROM ({ORDERS_FEED})',
     "catalog_table": f'SELECT *, CAST(0 AS BIGINT) AS "commit" FROM ({ORDERS_FEED})',
     "json_roundtrip": ORDERS_TEXT,
@@ -106,4 +105,34 @@ ORACLE: dict[str, str] = {
                o.orderid, o.ts AS order_ts, o.order_value, o.priority
         FROM ({CUSTOMERS_FEED}) c JOIN ({ORDERS_TEXT}) o ON CAST(c.customer_id AS VARCHAR) = o.customer_id""",
     "gold_stream": GOLD,
+    "upsert_touched_buckets": f"SELECT orderid, customer_id, ts, order_value, true AS changed FROM ({ORDERS_FEED})",
+    "catalog_table_partitioned": f"""
+        SELECT customer_id, name, CASE WHEN city = 'BUILDING' THEN 'MOVED' ELSE state END AS state, city, email, ts,
+               CAST(CASE WHEN city = 'BUILDING' THEN 7 END AS INTEGER) AS segment_code,
+               CAST(CASE WHEN city = 'BUILDING' THEN 1 ELSE 0 END AS BIGINT) AS "commit"
+        FROM ({CUSTOMERS_FEED})""",
+    "quarantined_rows": """
+        SELECT CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) || ',' || o_orderpriority AS line
+        FROM orders WHERE o_orderstatus = 'P'""",
+    "first_read_after_expiry": f"""
+        SELECT orderid, customer_id, ts, order_value + CASE WHEN orderid % 4 = 1 THEN 1 ELSE 0 END AS order_value, priority
+        FROM ({ORDERS_FEED})""",
+    "increment_after_expiry": f"""
+        SELECT orderid, customer_id, ts, order_value + 1 AS order_value, priority, CAST(4 AS BIGINT) AS "commit"
+        FROM ({ORDERS_FEED}) WHERE orderid % 4 = 1""",
+    "reset_reprocess": f"SELECT * REPLACE (lower(priority) AS priority) FROM ({GOLD})",
+    "gold_deletes": f"""
+        SELECT * FROM ({GOLD}) g
+        WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_orderkey = g.orderid)""",
+    "regex_search": """SELECT * FROM events WHERE regexp_matches(props, '"[a-z]+": ?[0-9]*[05]\\b')""",
+    "file_inventory": """
+        SELECT 'a' AS folder, count(*) AS num_rows, true AS has_bytes FROM orders
+        UNION ALL SELECT 'b/c', count(*), true FROM customer""",
+    "column_stats": f"""
+        SELECT 'orderid' AS "column", count(*) AS num_rows, CAST(min(orderid) AS DOUBLE) AS min_value, CAST(max(orderid) AS DOUBLE) AS max_value,
+               CAST(count(*) - count(orderid) AS BIGINT) AS null_rows FROM ({ORDERS_FEED})
+        UNION ALL SELECT 'customer_id', count(*), CAST(min(customer_id) AS DOUBLE), CAST(max(customer_id) AS DOUBLE),
+               CAST(count(*) - count(customer_id) AS BIGINT) FROM ({ORDERS_FEED})
+        UNION ALL SELECT 'order_value', count(*), CAST(min(order_value) AS DOUBLE), CAST(max(order_value) AS DOUBLE),
+               CAST(count(*) - count(order_value) AS BIGINT) FROM ({ORDERS_FEED})""",
 }

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.functions.scalar import json_to_row, row_to_json
+from strata.functions.scalar import json_to_row, regex_search, row_to_json
 from strata.operators import merge, versions
 from strata.operators.join import GOLD_COLUMNS, GOLD_SQL, gold_join
 from strata.plans.chain import CUSTOMERS_SCHEMA, ORDERS_SCHEMA, Chain, customers_text, orders_text
@@ -26,8 +27,9 @@ from strata.sources.inventory import file_inventory
 from strata.sources.raw import read_raw, write_landing
 from strata.sources.table import KeyedTable
 from strata.sources.testdata import customers_feed, events_log, orders_feed, stamp, table
-from strata.spec import COMMIT, TableSpec
+from strata.spec import COMMIT, DELETED, TableSpec
 from strata.streaming.ingest import run_gold_stream, run_silver
+from strata.streaming.progress import Progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,15 +77,31 @@ def precombine(spark, d):
 
 
 def upsert_arrival(spark, d):
-    return merge.fold_batches(_events_batches(spark, d), "user_id", "ts", "arrival")
+    return merge.fold_log(events_log(spark, d), "user_id", "ts", "arrival")
 
 
 def upsert_event_time(spark, d):
-    return merge.fold_batches(_events_batches(spark, d), "user_id", "ts", "event_time")
+    return merge.fold_log(events_log(spark, d), "user_id", "ts", "event_time")
 
 
 def composite_key_upsert(spark, d):
-    return merge.fold_batches(_events_batches(spark, d), "user_id,event_type", "ts", "arrival")
+    return merge.fold_log(events_log(spark, d), "user_id,event_type", "ts", "arrival")
+
+
+def upsert_touched_buckets(spark, d):
+    """All orders, then the orders of one bucket again with a changed priority: copy-on-write
+    writes that bucket only, the other buckets keep their files."""
+    t = KeyedTable(spark, TableSpec(name="orders", path=scratch_dir(spark, "touched"), keys="orderid", precombine="ts", buckets=8))
+    feed = orders_feed(spark, d)
+    t.write(feed)
+    before = t._manifest(0)
+    one = F.pmod(F.xxhash64("orderid"), F.lit(8)) == 3
+    t.write(feed.where(one).withColumn("priority", F.lit("CHANGED")))
+    after = t._manifest(1)
+    if {b for b in after if after[b] != before[b]} != {3}:
+        raise AssertionError(f"only bucket 3 should be new: {before} -> {after}")
+    # whichever orders that bucket holds: the change shows in the commit stamp
+    return t.snapshot().withColumn("changed", (F.col("priority") == "CHANGED") == (F.col(COMMIT) == 1)).drop(COMMIT, "priority")
 
 
 def upsert_partition_scope(spark, d):
@@ -132,14 +150,21 @@ def commit_list(spark, d):
 
 
 def retain_versions(spark, d):
-    return versions.retain_versions(stamp(table(spark, d, "orders"), "o_orderkey", 10), "o_custkey", 3)
+    """Ten commits of orders by customer; the rows of each customer's newest three."""
+    t = KeyedTable(spark, TableSpec(name="by_customer", path=scratch_dir(spark, "retain"), keys="o_custkey", table_type="mor", compact_every=100))
+    log = stamp(table(spark, d, "orders"), "o_orderkey", 10)
+    for c in range(10):
+        t.write(log.where(F.col(COMMIT) == c).drop(COMMIT), "bulk_insert")
+    return t.history(3)
 
 
 def insert_if_absent(spark, d):
-    """Key (user_id, day): commit-0 rows are stored, later commits only add missing keys."""
-    ev = events_log(spark, d).withColumn("day", F.to_date("ts"))
-    base = merge.precombine(ev.where(F.col(COMMIT) == 0), "user_id,day", "ts")
-    return merge.insert_if_absent(base, ev.where(F.col(COMMIT) > 0), "user_id,day", "ts")
+    """Key (user_id, day): commit-0 rows are stored, the second commit only adds missing keys."""
+    ev = events_log(spark, d).withColumn("day", F.to_date("ts")).withColumnRenamed(COMMIT, "arrival")
+    t = KeyedTable(spark, TableSpec(name="events", path=scratch_dir(spark, "absent"), keys="user_id,day", precombine="ts", table_type="mor"))
+    t.write(ev.where("arrival = 0"))
+    t.write(ev.where("arrival > 0"), "insert_if_absent")
+    return t.snapshot()
 
 
 def delete_by_key(spark, d):
@@ -154,12 +179,12 @@ def delete_by_key(spark, d):
 
 
 def insert_overwrite_partition(spark, d):
-    """Commit 0: events of commits 0-1; commit 1 replaces partition 'click' with later clicks."""
+    """All events, then partition 'click' is replaced by the clicks with an even id."""
     t = KeyedTable(spark, TableSpec(name="events", path=scratch_dir(spark, "overwrite"), keys="event_id",
                                     precombine="ts", partition_by="event_type"))
-    ev = events_log(spark, d)
-    t.write(ev.where(F.col(COMMIT) < 2))
-    t.write(ev.where((F.col(COMMIT) >= 2) & (F.col("event_type") == "click")), "insert_overwrite")
+    ev = table(spark, d, "events")
+    t.write(ev)
+    t.write(ev.where((F.col("event_type") == "click") & (F.col("event_id") % 2 == 0)), "insert_overwrite")
     return t.snapshot()
 
 
@@ -277,9 +302,13 @@ def partitioned_read(spark, d):
 
 
 def clustered_rewrite(spark, d):
-    t = _orders_table(spark, d, "cluster")
+    """A partitioned table, clustered: every file must be in order."""
+    t = _orders_table(spark, d, "cluster", partition_by="priority", buckets=2)
     t.cluster(["customer_id", "ts"])
-    return t.snapshot()
+    rows = t.base().select("*", F.col("_metadata.file_path").alias("_file"))
+    here = Window.partitionBy("_file").orderBy(F.monotonically_increasing_id())
+    before = F.lag(F.struct("customer_id", "ts")).over(here)
+    return rows.withColumn("in_order", before.isNull() | (before <= F.struct("customer_id", "ts"))).drop("_file", DELETED)
 
 
 def file_sizing(spark, d):
@@ -291,13 +320,25 @@ def file_sizing(spark, d):
 def catalog_table(spark, d):
     name = "strata_db.orders_" + scratch_dir(spark, "c").rsplit("-", 1)[-1]
     t = _orders_table(spark, d, "catalog", catalog_table=name)
-    return spark.table(t.register())
+    return spark.table(t.register()).drop("_bucket")
+
+
+def catalog_table_partitioned(spark, d):
+    """Customers by state; those of one segment move to another state and gain a column.  The
+    catalog shows the moved rows once and the new column."""
+    name = "strata_db.customers_" + scratch_dir(spark, "c").rsplit("-", 1)[-1]
+    t = _customers_table(spark, d, "catalog_p")
+    t.register(name)
+    moved = (customers_feed(spark, d).where(F.col("city") == "BUILDING").withColumn("state", F.lit("MOVED"))
+             .withColumn("segment_code", F.lit(7)))
+    t.write(moved)
+    return spark.table(t.register(name)).drop("_bucket")
 
 
 def json_roundtrip(spark, d):
     landing = scratch_dir(spark, "landing")
     write_landing(orders_text(orders_feed(spark, d)), landing)
-    return read_raw(spark, landing, "json")
+    return read_raw(spark, landing, "json", ORDERS_SCHEMA)
 
 
 def json_functions(spark, d):
@@ -320,20 +361,78 @@ def bookmark_new_files(spark, d):
     return t.snapshot().drop(COMMIT)
 
 
-def corrupt_quarantine(spark, d):
+def _ingest_with_corrupt_lines(spark, d, label):
     """Orders with status P land as CSV lines (not JSON): quarantined, the rest is ingested."""
-    root = scratch_dir(spark, "corrupt")
+    root = scratch_dir(spark, label)
     o = table(spark, d, "orders")
     good = orders_text(orders_feed(spark, d).join(
         o.where(F.col("o_orderstatus") != "P").select(F.col("o_orderkey").alias("orderid")), "orderid"))
     write_landing(good, f"{root}/raw/json")
     bad = orders_feed(spark, d).join(o.where(F.col("o_orderstatus") == "P").select(
         F.col("o_orderkey").alias("orderid")), "orderid")
-    bad.select(F.concat_ws(",", *[F.col(c).cast("string") for c in bad.columns]).alias("value")) \
+    bad.select(F.concat_ws(",", "orderid", "customer_id", "priority").alias("value")) \
         .write.mode("append").text(f"{root}/raw/csv")
     t = KeyedTable(spark, TableSpec(name="orders", path=f"{root}/silver", keys="orderid", precombine="ts"))
-    run_silver(spark, f"{root}/raw", t, ORDERS_SCHEMA, f"{root}/ck", quarantine=f"{root}/quarantine")
-    return t.snapshot().drop(COMMIT)
+    run_silver(spark, f"{root}/raw", t, ORDERS_SCHEMA, f"{root}/ck")
+    return t
+
+
+def corrupt_quarantine(spark, d):
+    return _ingest_with_corrupt_lines(spark, d, "corrupt").snapshot().drop(COMMIT)
+
+
+def quarantined_rows(spark, d):
+    """The lines that were held back, from the default quarantine folder."""
+    t = _ingest_with_corrupt_lines(spark, d, "held_back")
+    return read_raw(spark, f"{t.root}/_quarantine", "json", StructType([StructField("line", StringType())]))
+
+
+def _expired_orders(spark, d, label):
+    """Four commits of orders, folded, the log removed, then a fifth with raised values."""
+    t = _orders_table(spark, d, label, commits=4, table_type="mor")
+    t.compact()
+    t.expire_log(3)
+    t.write(orders_feed(spark, d).where(F.col("orderid") % 4 == 1).withColumn("order_value", F.col("order_value") + 1))
+    return t
+
+
+def first_read_after_expiry(spark, d):
+    """A first incremental load of a table whose old log is gone: every order."""
+    t = _expired_orders(spark, d, "fr_orders")
+    load_sources(spark, [{"table_name": "orders_first", "path": t.root, "type": "INC"}],
+                 progress_root=scratch_dir(spark, "fr_progress"), consumer="first_read")
+    return spark.table("orders_first").drop(COMMIT)
+
+
+def increment_after_expiry(spark, d):
+    return _expired_orders(spark, d, "ie_orders").increment(3)
+
+
+def reset_reprocess(spark, d):
+    """Gold, a reset, and a second run with another SQL over the same commits: all rows anew."""
+    orders = _orders_table(spark, d, "rr_orders")
+    customers = _customers_table(spark, d, "rr_customers")
+    gold = _gold(spark, "rr_gold")
+    progress = scratch_dir(spark, "rr_progress")
+    first = run_gold(spark, orders, customers, gold, progress)
+    Progress(spark, progress, "gold_orders").reset()
+    columns = ", ".join(f"lower({c}) AS {c}" if c == "priority" else c for c in GOLD_COLUMNS)
+    again = run_gold(spark, orders, customers, gold, progress, sql=f"SELECT {columns} FROM ({GOLD_SQL})")
+    if again.commit is None or again.commit <= first.commit:
+        raise AssertionError("a run after a reset must make a new commit")
+    return gold.snapshot().select(*GOLD_COLUMNS)
+
+
+def gold_deletes(spark, d):
+    """Orders with a returned line are deleted after gold was built: they leave gold."""
+    orders = _orders_table(spark, d, "gd_orders")
+    customers = _customers_table(spark, d, "gd_customers")
+    gold = _gold(spark, "gd_gold")
+    progress = scratch_dir(spark, "gd_progress")
+    run_gold(spark, orders, customers, gold, progress)
+    orders.write(table(spark, d, "lineitem").where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("orderid")), "delete")
+    run_gold(spark, orders, customers, gold, progress)
+    return gold.snapshot().select(*GOLD_COLUMNS)
 
 
 def layered_chain(spark, d):
@@ -359,14 +458,30 @@ def gold_stream(spark, d):
 
 
 def file_inventory_query(spark, d):
+    """Two landing folders; the listed paths are read back and counted per folder."""
     landing = scratch_dir(spark, "inventory")
     write_landing(orders_text(orders_feed(spark, d)), f"{landing}/a")
     write_landing(customers_text(customers_feed(spark, d)), f"{landing}/b/c")
-    return file_inventory(spark, landing, pattern=r"\.json$")
+    listed = file_inventory(spark, landing, pattern=r"\.json$")
+    lines = spark.read.option("recursiveFileLookup", "true").text(landing).select(F.col("_metadata.file_path").alias("file"))
+    name = F.element_at(F.split("path", "/"), -1)
+    found = listed.select(name.alias("name"), F.regexp_extract("path", r"/(a|b/c)/[^/]*$", 1).alias("folder"), "length")
+    here = lines.groupBy(F.element_at(F.split("file", "/"), -1).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return found.join(here, "name").groupBy("folder").agg(F.sum("n").alias("num_rows"), (F.min("length") > 0).alias("has_bytes"))
+
+
+def regex_search_query(spark, d):
+    """Events whose properties hold the pattern anywhere."""
+    return table(spark, d, "events").where(regex_search("props", '"[a-z]+": ?[0-9]*[05]\\b'))
 
 
 def column_stats(spark, d):
-    return _orders_table(spark, d, "stats", max_file_bytes=512 * 1024).column_stats()
+    """Statistics of the files, added up over the files."""
+    t = _orders_table(spark, d, "stats", max_file_bytes=64 * 1024)
+    stats = t.column_stats(["orderid", "customer_id", "order_value"])
+    number = lambda c: F.col(c).cast("double")
+    return stats.groupBy("column").agg(F.sum("num_rows").alias("num_rows"), F.min(number("min")).alias("min_value"),
+                                       F.max(number("max")).alias("max_value"), F.sum("nulls").alias("null_rows"))
 
 
 QUERIES: dict[str, Query] = {
@@ -410,4 +525,12 @@ QUERIES: dict[str, Query] = {
     "gold_stream": gold_stream,
     "file_inventory": file_inventory_query,
     "column_stats": column_stats,
+    "upsert_touched_buckets": upsert_touched_buckets,
+    "catalog_table_partitioned": catalog_table_partitioned,
+    "quarantined_rows": quarantined_rows,
+    "first_read_after_expiry": first_read_after_expiry,
+    "increment_after_expiry": increment_after_expiry,
+    "reset_reprocess": reset_reprocess,
+    "gold_deletes": gold_deletes,
+    "regex_search": regex_search_query,
 }

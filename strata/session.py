@@ -40,13 +40,15 @@ def build_session(master: str | None = None, app: str = "strata", shuffle_partit
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a local temp folder only when the
-    session has none (tests, local runs)."""
+    session has none and runs on a local master (tests, local runs)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.scalar import regex_search
 from strata.sources.fs import Fs
 
 
@@ -18,7 +19,7 @@ def file_inventory(spark: SparkSession, path: str, pattern: str | None = None,
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
           .select("path", "length", "modificationTime"))
     if pattern:
-        df = df.where(F.col("path").rlike(pattern))
+        df = df.where(regex_search("path", pattern))
     if prefix:
         root = Fs(spark).qualify(path).rstrip("/")
         df = df.where(F.col("path").startswith(f"{root}/{prefix}"))

@@ -2,49 +2,75 @@
 
 Layout under ``spec.path``::
 
-    log/commit=<n>/[<partition cols>=...]/part-*.parquet   rows written by commit n
-    base/v=<n>/[<partition cols>=...]/part-*.parquet        every current row as of commit n
-    _meta/schema.json                                        table schema (grows, never narrows)
-    _meta/commits/<n>[.nolog]                               commit n is visible (written last)
-    _meta/bases/<n>                                          base version n is complete
-    _meta/intent                                             commit being written, with its tag
-    _meta/expired                                            log commits <= this were removed
-
-Readers only see commits whose marker exists, so a half-written commit is invisible and a
-retry rewrites the same ``commit=<n>`` directory.  Nothing is ever overwritten while the same
-plan reads it: a fold always goes to a *new* ``base/v=<n>`` directory.
-
-copy-on-write  every commit also writes ``base/v=<n>``: reads are a plain scan
-merge-on-read  upserts only append to the log; reads fold ``base ∪ log tail``; ``compact()``
-               writes a base.  Both give the same rows.
+    log/commit=<n>/[<partition cols>=...]/part-*.parquet    rows written by commit n
+    base/_v=<n>/_bucket=<b>/[<partition cols>=...]/...        current rows, by hash of the key
+    _meta/commits/<n>.<method>.<tag hash>                    commit n is visible (written last)
+    _meta/bases/<n>                                          base n: which version holds each bucket
+    _meta/tags/<consumer hash>                               last commit of a tagged writer
+    _meta/consumers/<consumer hash>                          how far a reader has read the log
+    _meta/schema.json, _meta/spec.json, _meta/expired
+
+Readers only see commits whose marker exists.  A batch that failed before its marker leaves a
+``commit=<n>`` directory that the next commit overwrites.  A retry carries the same tag, which
+is found among the markers (or, for older commits, in the writer's tag file) and does nothing.
+Nothing is overwritten while the same plan reads it: a fold always goes to a *new* version.
+
+copy-on-write  every commit folds the buckets that its keys fall in into ``base/_v=<n>``; the
+               other buckets stay where they are
+merge-on-read  every write method only appends to the log; reads fold ``base ∪ log tail``, and
+               a base is written every ``compact_every`` commits.  Both give the same rows.
+
+Old bases and log commits are removed after each commit, once it is visible: the newest
+``keep_versions`` bases stay, and log commits stay while they are among the newest
+``keep_commits``, are not folded yet, or a registered reader has not passed them.
 """
 
 from __future__ import annotations
 
+import contextlib
 import dataclasses
+import hashlib
 import json
 import math
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DataType, LongType, StructField, StructType
 
 from strata.operators import merge, versions
 from strata.sources.fs import Fs
-from strata.spec import COMMIT, DELETED, METHODS, TableSpec
+from strata.spec import CLUSTER_TARGET_BYTES, COMMIT, DELETED, METHODS, TableSpec
 
+BUCKET = "_bucket"
+VERSION = "_v"
+_RESERVED = (COMMIT, DELETED, BUCKET, VERSION)
 _WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
+# lossless casts accepted on write: stored type <- incoming types
+_WIDENS = {"smallint": ("tinyint",), "int": ("tinyint", "smallint"), "bigint": ("tinyint", "smallint", "int"),
+           "double": ("float", "int", "smallint", "tinyint"), "timestamp_ntz": ("date",), "string": ("void",)}
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
-def est_row_bytes(schema: StructType) -> int:
-    """Rough in-memory row width, used to cap records per file."""
-    total = 0
-    for f in schema.fields:
-        t = f.dataType.simpleString()
-        total += _WIDTH.get(t, 8 if t in ("bigint", "double", "timestamp", "timestamp_ntz") or t.startswith("decimal") else 32)
-    return max(total, 1)
+def _digest(text: str) -> str:
+    return hashlib.md5(text.encode("utf-8")).hexdigest()[:16]
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: exact for text and binary, fixed for the rest."""
+    fixed, texts = 0, []
+    for name, t in df.dtypes:
+        if t in ("string", "binary"):
+            texts.append(F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)).cast("long"))
+        elif t.startswith(("array", "map", "struct")):
+            texts.append(F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)).cast("long"))
+        else:
+            fixed += _WIDTH.get(t, 8)
+    total = F.lit(fixed).cast("long")
+    for t in texts:
+        total = total + t
+    return total
 
 
 class KeyedTable:
@@ -58,31 +84,40 @@ class KeyedTable:
         self.meta = f"{self.root}/_meta"
 
     # ------------------------------------------------------------------ metadata (driver, tiny)
-    def _markers(self, sub: str) -> dict[int, bool]:
+    def _markers(self) -> dict[int, tuple[str, str]]:
+        """commit -> (method, tag hash), ascending; one listing."""
         out = {}
-        for name, _is_dir, _len, _mt in self.fs.children(f"{self.meta}/{sub}"):
-            stem, _, suffix = name.partition(".")
-            if stem.isdigit():
-                out[int(stem)] = suffix != "nolog"
-        return out
+        for name, *_ in self.fs.children(f"{self.meta}/commits"):
+            parts = name.split(".")
+            if len(parts) == 3 and parts[0].isdigit():
+                out[int(parts[0])] = (parts[1], parts[2])
+        return dict(sorted(out.items()))
 
     def commits(self) -> list[int]:
-        """Visible commits, ascending."""
-        return sorted(self._markers("commits"))
+        """Visible commits whose markers are kept, ascending."""
+        return list(self._markers())
 
-    def log_commits(self) -> list[int]:
-        """Visible commits that wrote rows into the log."""
+    def log_methods(self, since: int | None = None, until: int | None = None, markers=None) -> dict[int, str]:
+        """Visible commits in (since, until] that wrote rows into the log, with their method."""
+        markers = self._markers() if markers is None else markers
         expired = self.expired_before()
-        return sorted(c for c, has_log in self._markers("commits").items()
-                      if has_log and (expired is None or c > expired))
+        return {c: m for c, (m, _) in markers.items()
+                if m != "cluster" and (expired is None or c > expired) and (since is None or c > since) and (until is None or c <= until)}
+
+    def log_commits(self) -> list[int]:
+        return list(self.log_methods())
 
-    def base_versions(self) -> list[int]:
-        last = self.last_commit()
-        return sorted(v for v in self._markers("bases") if last is not None and v <= last)
+    def base_versions(self, markers=None) -> list[int]:
+        """Complete bases of visible commits, ascending."""
+        markers = self._markers() if markers is None else markers
+        if not markers:
+            return []
+        last = max(markers)
+        return sorted(int(n) for n, *_ in self.fs.children(f"{self.meta}/bases") if n.isdigit() and int(n) <= last)
 
     def last_commit(self) -> int | None:
-        cs = self.commits()
-        return cs[-1] if cs else None
+        markers = self._markers()
+        return max(markers) if markers else None
 
     def expired_before(self) -> int | None:
         txt = self.fs.read_text(f"{self.meta}/expired")
@@ -112,6 +147,21 @@ class KeyedTable:
             self.fs.write_text(f"{self.meta}/schema.json", merged.json())
         return merged
 
+    def _aligned(self, batch: DataFrame) -> DataFrame:
+        """The batch in the table's types; anything but a lossless widening is refused before
+        a file is written."""
+        clash = [c for c in _RESERVED if c in batch.columns]
+        if clash:
+            raise ValueError(f"column(s) {clash} are reserved by the table; rename or drop them")
+        stored: dict[str, DataType] = {f.name: f.dataType for f in (self.schema() or StructType()).fields}
+        columns = []
+        for f in batch.schema.fields:
+            want, have = stored.get(f.name, f.dataType).simpleString(), f.dataType.simpleString()
+            if want != have and have not in _WIDENS.get(want, ()):
+                raise ValueError(f"column {f.name!r} of {self.spec.name!r} is {want}, the batch has {have}")
+            columns.append(F.col(f"`{f.name}`").cast(stored[f.name]).alias(f.name) if want != have else F.col(f"`{f.name}`"))
+        return batch.select(*columns)
+
     # ------------------------------------------------------------------ reads
     def _empty(self) -> DataFrame:
         schema = self.schema()
@@ -122,14 +172,13 @@ class KeyedTable:
     def _read(self, base_path: str, paths: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema()).option("basePath", base_path).parquet(*paths)
 
-    def log(self, since: int | None = None, until: int | None = None) -> DataFrame:
+    def log(self, since: int | None = None, until: int | None = None, markers=None) -> DataFrame:
         """Rows of the visible log commits in (since, until]; pruned to those directories."""
         expired = self.expired_before()
         if since is not None and expired is not None and since < expired:
             raise ValueError(f"log commits <= {expired} of {self.spec.name!r} were expired; "
                              f"a reader at {since} must restart from the snapshot")
-        cs = [c for c in self.log_commits()
-              if (since is None or c > since) and (until is None or c <= until)]
+        cs = self.log_methods(since, until, markers)
         if not cs:
             return self._empty()
         df = self._read(self.log_dir, [f"{self.log_dir}/commit={c}" for c in cs])
@@ -139,100 +188,136 @@ class KeyedTable:
             df = df.where(F.col(COMMIT) <= F.lit(until))
         return df
 
-    def base(self, version: int | None = None) -> DataFrame | None:
-        vs = self.base_versions()
+    def _manifest(self, version: int) -> dict[int, int]:
+        """bucket -> version directory that holds its rows."""
+        return {int(b): v for b, v in json.loads(self.fs.read_text(f"{self.meta}/bases/{version}")).items()}
+
+    def base(self, version: int | None = None, buckets=None, markers=None) -> DataFrame | None:
+        """Rows of a base (the newest), of some buckets only if asked; None without a base."""
+        vs = self.base_versions(markers)
         if version is None:
             if not vs:
                 return None
             version = vs[-1]
         elif version not in vs:
             raise ValueError(f"base version {version} of {self.spec.name!r} is not available")
-        path = f"{self.base_dir}/v={version}"
-        return self._read(path, [path])
+        dirs = [f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}" for b, v in sorted(self._manifest(version).items())
+                if buckets is None or b in buckets]
+        if not dirs:
+            return self._empty()
+        return self._read(self.base_dir, dirs).drop(VERSION, BUCKET)
 
-    def _current(self) -> DataFrame:
+    def _current(self, markers=None) -> DataFrame:
         """Current rows, with the commit column and no deleted keys."""
-        last = self.last_commit()
-        if last is None:
+        markers = self._markers() if markers is None else markers
+        if not markers:
             return self._empty()
-        vs = self.base_versions()
+        vs = self.base_versions(markers)
         m = vs[-1] if vs else None
-        base = self.base(m) if m is not None else None
-        tail_commits = [c for c in self.log_commits() if m is None or c > m]
+        base = self.base(m, markers=markers) if m is not None else None
+        tail = self.log_methods(since=m, markers=markers)
+        if not tail:
+            return base if base is not None else self._empty()
+        return self._live(self._folded(base, self.log(since=m, markers=markers), tail))
+
+    def _folded(self, base: DataFrame | None, tail: DataFrame, methods: dict[int, str]) -> DataFrame:
         spec = self.spec
-        if not tail_commits:
-            out = base if base is not None else self._empty()
-        else:
-            tail = self.log(since=m)
-            out = (versions.snapshot(tail, spec.merge_keys, spec.precombine, spec.ordering) if base is None
-                   else merge.upsert(base, tail, spec.merge_keys, spec.precombine, spec.ordering))
-        return out.where(F.col(DELETED).isNull() | ~F.col(DELETED))
+        methods = {c: "insert" if m == "bulk_insert" else m for c, m in methods.items()}
+        return merge.fold_tail(base, tail, methods, spec.merge_keys, spec.precombine, spec.ordering, spec.partition_by)
+
+    @staticmethod
+    def _live(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col(DELETED).isNull() | ~F.col(DELETED)) if DELETED in rows.columns else rows
 
     def snapshot(self) -> DataFrame:
         """Every current row (``select *`` of the table), with its commit stamp."""
         return self._current().drop(DELETED)
 
-    def increment(self, since: int, until: int | None = None) -> DataFrame:
-        """Keys changed in commits (since, until], each at its latest version."""
+    def increment(self, since: int, until: int | None = None, with_deletes: bool = False) -> DataFrame:
+        """Keys changed in commits (since, until], each at its latest version; rows of insert
+        commits are all kept.  ``with_deletes`` adds the keys deleted in the range, marked in
+        ``_is_deleted``."""
         spec = self.spec
+        markers = self._markers()
         expired = self.expired_before()
         if expired is not None and since < expired:
             raise ValueError(f"log of {spec.name!r} was expired past {since}; restart from the snapshot")
-        changed = self.log(since=since, until=until)
+        changed = self.log(since=since, until=until, markers=markers)
+        methods = self.log_methods(since, until, markers)
         if spec.ordering == "arrival":
-            return versions.increment(changed, since, spec.merge_keys, spec.precombine, "arrival", until).drop(DELETED)
+            out = self._folded(None, changed, methods) if methods else changed
+            return out if with_deletes else self._live(out).drop(DELETED)
         # event_time: the newest base at or before ``until`` already holds the winner of every
         # key up to its commit, so candidates are that base plus the log after it, not all history
-        vs = [v for v in self.base_versions() if until is None or v <= until]
+        vs = [v for v in self.base_versions(markers) if until is None or v <= until]
         if vs:
-            pool = self.base(vs[-1]).unionByName(self.log(since=vs[-1], until=until), allowMissingColumns=True)
+            pool = self.base(vs[-1], markers=markers).unionByName(self.log(since=vs[-1], until=until, markers=markers), allowMissingColumns=True)
+        elif expired is not None:
+            raise ValueError(f"no base of {spec.name!r} reaches back to {until} and its log was expired up to {expired}")
         else:
-            pool = self.log(until=until)
-        return versions.increment(changed, since, spec.merge_keys, spec.precombine, "event_time", until,
-                                  candidates=pool).drop(DELETED)
+            pool = self.log(until=until, markers=markers)
+        out = versions.increment(changed, since, spec.merge_keys, spec.precombine, "event_time", until, candidates=pool).drop(DELETED)
+        if with_deletes:
+            return out.withColumn(DELETED, F.lit(False))
+        return out
+
+    def history(self, keep: int) -> DataFrame:
+        """Log rows of the newest ``keep`` commits of every key."""
+        return versions.retain_versions(self.log().drop(DELETED), self.spec.merge_keys, keep)
 
     # ------------------------------------------------------------------ writes
-    def _claim(self, tag: str | None) -> tuple[int, bool]:
+    def _claim(self, tag: str | None, markers: dict | None = None) -> tuple[int, bool]:
         """(commit id, already visible).  A retry with the same tag gets the same commit."""
-        committed = self.commits()
-        last = committed[-1] if committed else -1
-        intent = self.fs.read_text(f"{self.meta}/intent")
-        if tag is not None and intent:
-            doc = json.loads(intent)
-            if doc.get("tag") == tag:
-                n = int(doc["commit"])
-                if n in committed:
+        markers = self._markers() if markers is None else markers
+        if tag is not None:
+            mine = _digest(tag)
+            for n, (_, seen) in markers.items():
+                if seen == mine:
                     return n, True
-                if n > last:
-                    return n, False
-        n = last + 1
-        self.fs.write_text(f"{self.meta}/intent", json.dumps({"commit": n, "tag": tag}))
-        return n, False
-
-    def _write_rows(self, df: DataFrame, path: str, partition_by=None, sort_by=()) -> None:
+            kept = self.fs.read_text(self._tag_file(tag))
+            if kept:
+                n, seen = json.loads(kept)
+                if seen == tag:
+                    return n, True
+        return (max(markers) + 1 if markers else 0), False
+
+    def _tag_file(self, tag: str) -> str:
+        return f"{self.meta}/tags/{_digest(tag.rpartition('#')[0])}"
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.merge_keys]), F.lit(self.spec.buckets)).cast("int")
+
+    @contextlib.contextmanager
+    def _sized_writes(self):
+        """Shuffle partitions that are written become at least the small-file limit."""
+        conf = self.spark.conf
+        before = conf.get(_ADVISORY)
+        try:
+            conf.set(_ADVISORY, str(self.spec.small_file_bytes))
+            yield
+        finally:
+            conf.set(_ADVISORY, before)
+
+    def _write_rows(self, df: DataFrame, path: str, parts: list[str], row_bytes: float, sort_by=()) -> None:
         spec = self.spec
-        parts = list(spec.partition_by if partition_by is None else partition_by)
         if parts and not sort_by:
-            # rows of one partition value go to few tasks (few files per directory); AQE splits a
-            # value that holds a large share of the rows across tasks and merges small ones
+            # rows of one directory go to few tasks (few files); AQE splits a directory that
+            # holds a large share of the rows across tasks and merges small ones
             df = df.hint("rebalance", *parts)
         if sort_by:
-            df = df.sortWithinPartitions(*sort_by)
+            df = df.sortWithinPartitions(*parts, *[c for c in sort_by if c not in parts])
         writer = (df.write.mode("overwrite")
                   .option("compression", spec.compression)
-                  .option("maxRecordsPerFile", max(1, spec.max_file_bytes // est_row_bytes(df.schema))))
+                  .option("maxRecordsPerFile", max(1, int(spec.max_file_bytes / max(1.0, row_bytes)))))
         if parts:
             writer = writer.partitionBy(*parts)
-        writer.parquet(path)
-
-    def _mark(self, sub: str, n: int, suffix: str = "") -> None:
-        stamp = datetime.now(timezone.utc).isoformat()
-        self.fs.write_text(f"{self.meta}/{sub}/{n}{suffix}", stamp)
+        with self._sized_writes():
+            writer.parquet(path)
 
     def write(self, batch: DataFrame, method: str = "upsert", sql_transformer: str | None = None,
               tag: str | None = None) -> int | None:
         """Commit ``batch`` with the given write operation; returns the commit id, or None when
-        the batch is empty (nothing is written)."""
+        the batch is empty (nothing is written).  ``tag`` is ``<writer>#<batch>``."""
         method = (method or "upsert").lower()
         if method not in METHODS:
             raise ValueError(f"unknown write method {method!r}; expected one of {METHODS}")
@@ -240,144 +325,209 @@ class KeyedTable:
             session = batch.sparkSession
             batch.createOrReplaceTempView("temp")
             batch = session.sql(sql_transformer)
-        if COMMIT in batch.columns:
-            batch = batch.drop(COMMIT)
         spec = self.spec
-        two_passes = spec.table_type == "cow" or method != "upsert"
-        if two_passes:
-            # the emptiness probe, the log write and the fold all read the batch: compute it once
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        if batch.isEmpty():
-            if two_passes:
-                batch.unpersist()
-            return None
-        n, done = self._claim(tag)
+        markers = self._markers()
+        n, done = self._claim(tag, markers)
         if done:
-            if two_passes:
-                batch.unpersist()
             return n
+        batch = self._aligned(batch)
+        if method == "insert_if_absent":
+            batch = merge.precombine(batch, spec.merge_keys, spec.precombine)
+            if markers:
+                batch = merge.semi_join_keys(batch, self._current(markers), spec.merge_keys, "left_anti")
+        # the size probe, the log write and the fold all read the batch: compute it once
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            count, width = batch.agg(F.count(F.lit(1)), F.avg(_row_bytes(batch))).first()
+            if not count:
+                return None
+            self._commit_rows(batch, method, n, tag, markers, float(width))
+        finally:
+            batch.unpersist()
+        self._tidy()
+        if spec.catalog_table:
+            self.register()
+        return n
+
+    def _commit_rows(self, batch: DataFrame, method: str, n: int, tag: str | None, markers: dict, row_bytes: float) -> None:
+        spec = self.spec
         self._save_spec()
         stamped = batch.withColumn(COMMIT, F.lit(n).cast("bigint"))
+        stored = {"insert_if_absent": "insert", "bulk_insert": "insert"}.get(method, method)
+        rows = stamped
         if method == "upsert":
-            log_rows = merge.precombine(stamped, spec.merge_keys, spec.precombine)
+            rows = merge.precombine(stamped, spec.merge_keys, spec.precombine)
         elif method == "delete":
-            log_rows = merge.tombstones(stamped, spec.merge_keys).withColumn(COMMIT, F.lit(n).cast("bigint"))
+            rows = merge.tombstones(stamped, spec.merge_keys).withColumn(COMMIT, F.lit(n).cast("bigint"))
             known = {f.name: f.dataType for f in (self.schema() or StructType()).fields}
             for p in spec.partition_by:
-                if p not in log_rows.columns:
+                if p not in rows.columns:
                     # a key-only delete does not know the row's partition: default partition
-                    log_rows = log_rows.withColumn(p, F.lit(None).cast(known.get(p, "string")))
-        else:
-            log_rows = stamped
+                    rows = rows.withColumn(p, F.lit(None).cast(known.get(p, "string")))
         self._save_schema(stamped.schema)
-        self._write_rows(log_rows.drop(COMMIT), f"{self.log_dir}/commit={n}")
-        if spec.table_type == "cow" or method != "upsert":
-            current = self._current() if self.last_commit() is not None else None
-            folded = merge.apply_write(current, stamped, method, spec.merge_keys, spec.precombine,
-                                       spec.ordering, spec.partition_by)
-            self._write_base(folded, n)
-        if two_passes:
-            batch.unpersist()
-        self._mark("commits", n)
-        if spec.catalog_table:
-            self.register()
-        return n
+        self._write_rows(rows.drop(COMMIT), f"{self.log_dir}/commit={n}", list(spec.partition_by), row_bytes)
+        if spec.table_type == "cow" or (spec.ordering == "event_time" and stored != "upsert"):
+            self._fold_commit(rows, stored, n, markers, row_bytes)
+        self._mark(n, method, tag)
+
+    def _fold_commit(self, rows: DataFrame, method: str, n: int, markers: dict, row_bytes: float) -> None:
+        """Base n: the buckets of this commit's keys are folded, the others stay where they are."""
+        spec = self.spec
+        vs = self.base_versions(markers)
+        current_base = bool(vs) and not self.log_methods(since=vs[-1], markers=markers)
+        if not markers:
+            folded, held = rows.where(F.lit(method != "delete")), {}
+        elif current_base and method != "insert_overwrite":
+            touched = {r[0] for r in rows.select(self._bucket().alias("b")).distinct().collect()}  # at most ``buckets``
+            manifest = self._manifest(vs[-1])
+            held = {b: v for b, v in manifest.items() if b not in touched}
+            base = self.base(vs[-1], touched, markers) if touched & set(manifest) else None
+            folded = self._apply(base, rows, method)
+        else:
+            folded, held = self._apply(self._current(markers), rows, method), {}
+        self._write_base(self._live(folded), n, row_bytes, held)
+
+    def _apply(self, base: DataFrame | None, rows: DataFrame, method: str) -> DataFrame:
+        spec = self.spec
+        return merge.apply_write(base, rows, method, spec.merge_keys, spec.precombine, spec.ordering, spec.partition_by)
+
+    def _mark(self, n: int, method: str, tag: str | None) -> None:
+        stamp = datetime.now(timezone.utc).isoformat()
+        self.fs.write_text(f"{self.meta}/commits/{n}.{method}.{_digest(tag) if tag else '-'}", json.dumps({"commit": n, "method": method, "time": stamp}))
+        if tag is not None:
+            self.fs.write_text(self._tag_file(tag), json.dumps([n, tag]))
 
     def _save_spec(self) -> None:
         path = f"{self.meta}/spec.json"
         if not self.fs.exists(path):
             self.fs.write_text(path, json.dumps(dataclasses.asdict(self.spec)))
 
-    def _write_base(self, rows: DataFrame, n: int, sort_by=()) -> None:
+    def _write_base(self, rows: DataFrame, n: int, row_bytes: float, held: dict[int, int] | None = None, sort_by=()) -> None:
+        """Rows of the folded buckets to ``base/_v=<n>``, then the manifest of base n."""
         schema = self.schema()
         cols = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
                 for f in schema.fields if f.name != DELETED]
-        self._write_rows(rows.select(*cols), f"{self.base_dir}/v={n}", sort_by=sort_by)
-        self._mark("bases", n)
-        self._clean_bases()
-
-    def _clean_bases(self) -> None:
-        """Keep the newest ``keep_versions`` base versions."""
-        vs = sorted(self._markers("bases"))
-        for v in vs[: max(0, len(vs) - self.spec.keep_versions)]:
-            self.fs.delete(f"{self.meta}/bases/{v}")
-            self.fs.delete(f"{self.base_dir}/v={v}")
+        path = f"{self.base_dir}/{VERSION}={n}"
+        parts = [BUCKET, *self.spec.partition_by]
+        self._write_rows(rows.select(*cols).withColumn(BUCKET, self._bucket()), path, parts, row_bytes, sort_by)
+        made = {int(name.split("=")[1]): n for name, is_dir, *_ in self.fs.children(path) if is_dir and name.startswith(f"{BUCKET}=")}
+        self.fs.write_text(f"{self.meta}/bases/{n}", json.dumps({str(b): v for b, v in {**(held or {}), **made}.items()}))
 
     # ------------------------------------------------------------------ maintenance
+    def passed(self, consumer: str, commit: int) -> None:
+        """A reader of the log says how far it has read: later commits are kept for it."""
+        self.fs.write_text(f"{self.meta}/consumers/{_digest(consumer)}", json.dumps([consumer, commit]))
+
+    def forget(self, consumer: str) -> None:
+        """The reader starts again from the snapshot; nothing is kept for it."""
+        self.fs.delete(f"{self.meta}/consumers/{_digest(consumer)}")
+
+    def _tidy(self) -> None:
+        """After a commit is visible: compaction, old bases, spent log commits and markers."""
+        spec = self.spec
+        markers = self._markers()
+        vs = self.base_versions(markers)
+        if spec.table_type == "mor" and len(self.log_methods(since=vs[-1] if vs else None, markers=markers)) >= spec.compact_every:
+            self.compact()
+            vs = self.base_versions(markers)
+        if not vs:
+            return
+        self._clean_bases(vs)
+        reach = min([vs[-1], max(markers) - spec.keep_commits,
+                     *(json.loads(self.fs.read_text(f"{self.meta}/consumers/{name}"))[1] for name, *_ in self.fs.children(f"{self.meta}/consumers")
+                       if not name.startswith("."))])
+        expired = self.expired_before()
+        if reach >= 0 and (expired is None or reach > expired) and reach >= min(markers):
+            self.expire_log(reach)
+
+    def _clean_bases(self, vs: list[int]) -> None:
+        """Keep the newest ``keep_versions`` bases of visible commits and the buckets they hold."""
+        old, kept = vs[:-self.spec.keep_versions], vs[-self.spec.keep_versions:]
+        if not old:
+            return
+        used = {(b, v) for m in kept for b, v in self._manifest(m).items()}
+        for m in old:
+            spent = {(b, v) for b, v in self._manifest(m).items()} - used
+            self.fs.delete(f"{self.meta}/bases/{m}")
+            for b, v in spent:
+                self.fs.delete(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}")
+            for v in {v for _, v in spent} - {v for _, v in used}:
+                self.fs.delete(f"{self.base_dir}/{VERSION}={v}")
+
+    def _mean_row_bytes(self, rows: DataFrame) -> float:
+        return float(rows.agg(F.avg(_row_bytes(rows))).first()[0] or 1.0)
+
     def compact(self) -> int | None:
         """Fold the log into a base at the last commit (merge-on-read -> copy-on-write view)."""
-        last = self.last_commit()
-        if last is None:
+        markers = self._markers()
+        if not markers:
             return None
-        vs = self.base_versions()
+        last = max(markers)
+        vs = self.base_versions(markers)
         if vs and vs[-1] == last:
             return last
-        self._write_base(self._current(), last)
+        rows = self._current(markers)
+        self._write_base(rows, last, self._mean_row_bytes(rows))
         return last
 
     def cluster(self, columns=None, target_bytes: int | None = None) -> int | None:
-        """Rewrite the current rows range-partitioned and sorted by ``columns`` as a new commit
-        that adds nothing to the log (streaming readers see no old rows again)."""
-        from strata.spec import CLUSTER_TARGET_BYTES
-
+        """Rewrite the current rows range-partitioned and sorted by ``columns`` (within bucket and
+        partition) as a new commit that adds nothing to the log, so readers see no old rows again."""
         cols = list(columns or self.spec.cluster_by)
         if not cols:
             raise ValueError("clustering needs columns")
-        last = self.last_commit()
-        if last is None:
+        markers = self._markers()
+        if not markers:
             return None
-        current = self._current()
-        vs = self.base_versions()
-        size = self.fs.size(f"{self.base_dir}/v={vs[-1]}") if vs else self.fs.size(self.log_dir)
+        rows = self._current(markers)
+        width = self._mean_row_bytes(rows)
+        vs = self.base_versions(markers)
+        size = sum(self.fs.size(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}") for b, v in self._manifest(vs[-1]).items()) if vs else self.fs.size(self.log_dir)
+        n = max(markers) + 1
         n_files = max(1, math.ceil(size / (target_bytes or CLUSTER_TARGET_BYTES)))
-        n, _ = self._claim(None)
-        ordered = current.repartitionByRange(n_files, *[F.col(c) for c in cols])
-        self._write_base_clustered(ordered, n, cols)
-        self._mark("commits", n, ".nolog")
+        ranged = rows.repartitionByRange(n_files, self._bucket(), *[F.col(c) for c in [*self.spec.partition_by, *cols]])
+        self._write_base(ranged, n, width, sort_by=cols)
+        self._mark(n, "cluster", None)
+        self._tidy()
         return n
 
-    def _write_base_clustered(self, rows: DataFrame, n: int, cols) -> None:
-        schema = self.schema()
-        keep = [F.col(f.name) for f in schema.fields if f.name != DELETED and f.name in rows.columns]
-        rows = rows.select(*keep).sortWithinPartitions(*cols)
-        spec = self.spec
-        writer = (rows.write.mode("overwrite").option("compression", spec.compression)
-                  .option("maxRecordsPerFile", max(1, spec.max_file_bytes // est_row_bytes(rows.schema))))
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
-        writer.parquet(f"{self.base_dir}/v={n}")
-        self._mark("bases", n)
-        self._clean_bases()
-
     def expire_log(self, upto: int) -> None:
-        """Remove log commits <= ``upto`` that a base already covers.  Readers behind ``upto``
-        must restart from the snapshot."""
-        vs = self.base_versions()
+        """Remove log commits and markers <= ``upto`` that a base already covers.  Readers behind
+        ``upto`` must restart from the snapshot."""
+        markers = self._markers()
+        vs = self.base_versions(markers)
         if not vs or upto > vs[-1]:
             raise ValueError("only commits folded into a base can be expired")
         self.fs.write_text(f"{self.meta}/expired", str(upto))
-        for c in self.commits():
+        newest = max(markers)
+        for c, (method, seen) in markers.items():
             if c <= upto:
                 self.fs.delete(f"{self.log_dir}/commit={c}")
+                if c != newest:  # the newest marker carries the commit counter
+                    self.fs.delete(f"{self.meta}/commits/{c}.{method}.{seen}")
+
+    def column_stats(self, columns=None) -> DataFrame:
+        """Per data file of the current rows and column: ``num_rows, min, max, nulls`` (as text).
 
-    def column_stats(self) -> DataFrame:
-        """Per data file of the current base: row count, and min / max / NULL count per column."""
+        Only the asked columns are read (default: keys, precombine and clustering columns).
+        Without a base the log's files are described."""
+        spec = self.spec
+        cols = list(columns or dict.fromkeys([*spec.keys, *([spec.precombine] if spec.precombine else []), *spec.cluster_by]))
         base = self.base()
-        if base is None:
-            self.compact()
-            base = self.base()
-        cols = [c for c, t in base.dtypes if not t.startswith(("map", "array", "struct"))]
-        aggs = [F.count(F.lit(1)).alias("num_rows")]
-        for c in cols:
-            aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"),
-                     F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}_nulls")]
-        return base.select("*", F.col("_metadata.file_path").alias("file_path")).groupBy("file_path").agg(*aggs)
+        rows = (base if base is not None else self.log()).select(*cols, F.col("_metadata.file_path").alias("file_path"))
+        stats = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("num_rows"), *[
+            F.struct(F.lit(c).alias("column"), F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max"),
+                     F.count(F.when(F.col(c).isNull(), 1)).alias("nulls")).alias(f"_{i}") for i, c in enumerate(cols)])
+        return stats.select("file_path", "num_rows", F.explode(F.array(*[f"_{i}" for i in range(len(cols))])).alias("s")).select("file_path", "num_rows", "s.*")
 
     def register(self, name: str | None = None) -> str:
-        """Catalog table over the latest base (``database.table``)."""
+        """Catalog table over the latest base (``database.table``), made anew each time so that
+        moved rows, vacated partitions and new columns show at once.
+
+        Its partitions are the table's directories, at their own locations: the bucket (an extra
+        column) and the partition columns."""
         name = name or self.spec.catalog_table or self.spec.name
         self.compact()
-        location = self.fs.qualify(f"{self.base_dir}/v={self.base_versions()[-1]}")
         spark = self.spark
         if "." in name:
             db = name.split(".")[0]
@@ -385,21 +535,36 @@ class KeyedTable:
                 # next to the table, not in the driver's working directory
                 db_path = self.fs.qualify(f"{self.root}/../_catalog/{db}.db")
                 spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{db_path}'")
-        parts = self.spec.partition_by
-        if spark.catalog.tableExists(name):
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        else:
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema().fields
-                             if f.name != DELETED and f.name not in parts)
-            pcols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema().fields if f.name in parts)
-            part_clause = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-            all_cols = cols + (", " + pcols if pcols else "")
-            spark.sql(f"CREATE TABLE {name} ({all_cols}) USING parquet{part_clause} LOCATION '{location}'")
-        if parts:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        parts = [BUCKET, *self.spec.partition_by]
+        fields = [f for f in self.schema().fields if f.name != DELETED]
+        ordered = [f for f in fields if f.name not in parts] + [StructField(BUCKET, LongType())] + [f for p in parts for f in fields if f.name == p]
+        columns = ", ".join(f"`{f.name}` {'int' if f.name == BUCKET else f.dataType.simpleString()}" for f in ordered)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)}) "
+                  f"LOCATION '{self.fs.qualify(self.base_dir)}/_none'")
+        places = []
+        for b, v in sorted(self._manifest(self.base_versions()[-1]).items()):
+            places += self._leaves(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}", {BUCKET: str(b)}, list(self.spec.partition_by))
+        for i in range(0, len(places), 200):
+            clauses = " ".join("PARTITION (" + ", ".join(f"`{k}`=" + ("null" if x is None else "'" + x.replace("'", "\\'") + "'") for k, x in values.items())
+                               + f") LOCATION '{self.fs.qualify(path)}'" for path, values in places[i:i + 200])
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {clauses}")
         spark.catalog.refreshTable(name)
         return name
 
+    def _leaves(self, path: str, values: dict, parts: list[str]) -> list[tuple[str, dict]]:
+        """Partition directories below ``path`` with their values."""
+        if not parts:
+            return [(path, values)]
+        out = []
+        unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        for name, is_dir, *_ in self.fs.children(path):
+            column, _, raw = name.partition("=")
+            if is_dir and column == parts[0]:
+                value = None if raw == "__HIVE_DEFAULT_PARTITION__" else str(unescape(raw))
+                out += self._leaves(f"{path}/{name}", {**values, column: value}, parts[1:])
+        return out
+
 
 def open_table(spark: SparkSession, path: str, **overrides) -> KeyedTable:
     """A table by its path alone: the spec is read from ``_meta/spec.json``."""

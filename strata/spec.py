@@ -12,13 +12,12 @@ DELETED = "_is_deleted"
 SCOPES = ("global", "partition")
 ORDERINGS = ("arrival", "event_time")
 TABLE_TYPES = ("cow", "mor")
-METHODS = ("upsert", "insert", "bulk_insert", "insert_overwrite", "delete")
+METHODS = ("upsert", "insert", "bulk_insert", "insert_if_absent", "insert_overwrite", "delete")
 
 # File sizing and retention defaults of the source pipeline.
 MAX_FILE_BYTES = 512 * 1024 * 1024
 SMALL_FILE_BYTES = 104857600
 CLUSTER_TARGET_BYTES = 1073741824
-CLUSTER_SMALL_BYTES = 629145600
 KEEP_VERSIONS = 3
 
 
@@ -47,8 +46,12 @@ class TableSpec:
                 "partition": a key is unique within its partition (partition columns join the key)
     ordering    "arrival": the newest commit wins; "event_time": the greatest precombine wins,
                 even against rows stored by earlier commits
-    table_type  "cow": every commit writes a new folded base version; "mor": commits only
-                append to the log, folded on read and by compaction
+    table_type  "cow": every commit folds the buckets it touches into a new base version;
+                "mor": commits only append to the log, folded on read and by compaction
+    buckets     hash buckets of the base; about table bytes / 10 GB, so that a commit rewrites
+                little and a bucket still fills whole files.  Fixed for a table's life.
+    compact_every  merge-on-read: log commits after which a base is written
+    keep_commits   newest log commits that stay readable as increments even for unknown readers
     """
 
     name: str
@@ -65,6 +68,9 @@ class TableSpec:
     compression: str = "snappy"
     catalog_table: str | None = None
     cluster_by: tuple[str, ...] = field(default=())
+    buckets: int = 4
+    compact_every: int = 10
+    keep_commits: int = 20
 
     def __post_init__(self):
         object.__setattr__(self, "keys", tuple(key_list(self.keys)))
@@ -82,8 +88,8 @@ class TableSpec:
             raise ValueError(f"unknown ordering {self.ordering!r}; expected one of {ORDERINGS}")
         if self.ordering == "event_time" and not self.precombine:
             raise ValueError("event_time ordering needs a precombine column")
-        if self.keep_versions < 1:
-            raise ValueError("keep_versions must be >= 1")
+        if min(self.keep_versions, self.buckets, self.compact_every, self.keep_commits) < 1:
+            raise ValueError("keep_versions, buckets, compact_every and keep_commits must be >= 1")
         object.__setattr__(self, "scope", scope)
         object.__setattr__(self, "table_type", ttype)
 

@@ -3,13 +3,14 @@
 A file source with a ``checkpointLocation`` remembers which files it consumed; with
 ``trigger(availableNow=True)`` each run processes exactly the files that arrived since the
 previous run and stops.  The sink is ``foreachBatch``: the micro-batch becomes one table
-commit, tagged with (checkpoint, batch id) so a retried batch rewrites the same commit.  The
+commit, tagged with (stream id, batch id), so a retried batch finds its commit.  The
 stream's own commit log advances only after the function returns (at-least-once delivery,
 idempotent effect).
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -17,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.operators import merge
-from strata.operators.join import GOLD_SQL, split_join, unmatched
+from strata.operators.join import GOLD_SQL
+from strata.plans.gold import run_gold
+from strata.sources.fs import Fs
 from strata.sources.raw import CORRUPT, FORMATS
 from strata.sources.table import KeyedTable
-from strata.spec import COMMIT, DELETED
 
 
 def raw_stream(spark: SparkSession, landing: str, schema: StructType, fmt: str = "json") -> DataFrame:
@@ -49,79 +50,62 @@ def run_silver(spark: SparkSession, landing: str, table: KeyedTable, schema: Str
                quarantine: str | None = None) -> list[int]:
     """Ingest the files that are new since the last run into ``table``; returns the commits made.
 
-    Lines that are not valid JSON go to ``quarantine/batch=<id>`` (raw text) instead of the table.
+    Lines that are not valid JSON go to ``<quarantine>/batch=<id>`` (JSON with the raw text as ``line``; default: the
+    folder ``_quarantine`` of the table) instead of the table; none is dropped.
     """
     made: list[int] = []
+    held_back = (quarantine or f"{table.root}/_quarantine").rstrip("/")
 
     def batch_fn(df: DataFrame, batch_id: int) -> None:
+        query = _stream_id(table.fs, checkpoint)
         has_corrupt = CORRUPT in df.columns
+        good = df
         if has_corrupt:
             # two disjoint outputs of one input: compute it once
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            bad = df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-            if quarantine and not bad.isEmpty():
-                bad.write.mode("overwrite").json(f"{quarantine.rstrip('/')}/batch={batch_id}")
-            good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        else:
-            good = df
-        n = table.write(good, method, sql_transformer=sql_transformer, tag=f"{checkpoint}#{batch_id}")
+        try:
+            if has_corrupt:
+                bad = df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+                if not bad.isEmpty():
+                    bad.write.mode("overwrite").json(f"{held_back}/stream={query}/batch={batch_id}")
+                good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            n = table.write(good, method, sql_transformer=sql_transformer, tag=f"{query}#{batch_id}")
+        finally:
+            if has_corrupt:
+                df.unpersist()
         if n is not None:
             made.append(n)
-        if has_corrupt:
-            df.unpersist()
 
     _run_available(raw_stream(spark, landing, schema, fmt), batch_fn, checkpoint)
     return made
 
 
-def log_stream(spark: SparkSession, table: KeyedTable) -> DataFrame:
-    """A table's log as a stream: each new ``commit=<n>`` directory is picked up once.
-    Compaction and clustering never write into the log, so old rows never reappear."""
-    schema = StructType([f for f in table.schema().fields])
-    return (spark.readStream.schema(schema).option("basePath", table.log_dir)
-            .parquet(table.log_dir))
+def _stream_id(fs: Fs, checkpoint: str) -> str:
+    """The id Spark gave this stream; a fresh checkpoint at the same path has another one."""
+    return json.loads(fs.read_text(f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
+def commit_stream(spark: SparkSession, table: KeyedTable) -> DataFrame:
+    """A table's commits as a stream: the markers, which exist only for visible commits."""
+    return spark.readStream.schema("commit long, method string, time string").json(f"{table.meta}/commits")
 
 
 def run_gold_stream(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gold: KeyedTable,
                     checkpoint: str, sql: str = GOLD_SQL) -> list[int]:
-    """Streaming gold: every new orders commit is joined with the current customers and upserted.
+    """Streaming gold: new orders commits start a gold run over the commits that are visible.
 
-    Orders without a customer are kept in ``<checkpoint>/pending/batch=<id>`` and retried with
-    the next batch (late dimensions are not lost).
+    The rows come through the table (never from files of unfinished commits).  One more run
+    follows the stream, so that orders waiting for a customer are released when only customers
+    arrived.  Progress and waiting orders live under the checkpoint.
     """
     made: list[int] = []
-    pending_root = f"{checkpoint.rstrip('/')}/pending"
-    from strata.sources.fs import Fs
-
-    fs = Fs(spark)
+    root = checkpoint.rstrip("/")
 
-    def batch_fn(df: DataFrame, batch_id: int) -> None:
-        session = df.sparkSession
-        keys, pre = orders.spec.merge_keys, orders.spec.precombine
-        todo = merge.precombine(df.where(F.col(DELETED).isNull() | ~F.col(DELETED)), keys, pre) if DELETED in df.columns \
-            else merge.precombine(df, keys, pre)
-        prev = f"{pending_root}/batch={batch_id - 1}"
-        if batch_id > 0 and fs.exists(f"{prev}/_SUCCESS"):
-            pend = session.read.parquet(prev).withColumn(COMMIT, F.lit(-1).cast("bigint"))
-            todo = merge.upsert(pend, todo, keys, pre, "arrival")
-        todo = todo.drop(COMMIT, DELETED)
-        cust = customers.snapshot().drop(COMMIT)
-        if sql is GOLD_SQL:
-            rows, waiting, joined = split_join(todo, cust)
-            held = joined.persist(StorageLevel.MEMORY_AND_DISK)
-        else:
-            held = todo.persist(StorageLevel.MEMORY_AND_DISK)
-            held.createOrReplaceTempView("orders")
-            cust.createOrReplaceTempView("customers")
-            rows, waiting = session.sql(sql), unmatched(held, cust)
-        n = gold.write(rows, "upsert", tag=f"{checkpoint}#{batch_id}")
-        if n is not None:
-            made.append(n)
-        waiting.write.mode("overwrite").parquet(f"{pending_root}/batch={batch_id}")
-        held.unpersist()
-        if batch_id > 1:
-            # batch_id - 1 may still be re-read if this batch is retried; older ones never are
-            fs.delete(f"{pending_root}/batch={batch_id - 2}")
+    def step(_df: DataFrame | None = None, _batch_id: int | None = None) -> None:
+        done = run_gold(spark, orders, customers, gold, f"{root}/progress", consumer="gold_stream", sql=sql).commit
+        if done is not None and done not in made:
+            made.append(done)
 
-    _run_available(log_stream(spark, orders), batch_fn, f"{checkpoint.rstrip('/')}/stream")
+    _run_available(commit_stream(spark, orders), step, f"{root}/stream")
+    step()
     return made

@@ -4,6 +4,7 @@ Structured Streaming keeps its own progress in ``checkpointLocation``; these doc
 the batch jobs.  One document per run, never rewritten:
 
     <root>/<consumer>/runs/<k>.json
+      # fixed values: the keys of the document
       {"consumer", "run", "sources": {name: {"table_name", "path", "last_processed_commit"}},
        "inserted_time"}
 
@@ -49,6 +50,12 @@ class Progress:
         runs = self._runs()
         return runs[-1] + 1 if runs else 0
 
+    def generation(self) -> int:
+        """How often this consumer was reset; part of every tag, so that a run after a reset is
+        never taken for a retry of an old one."""
+        txt = self.fs.read_text(f"{self.dir}/generation")
+        return int(txt) if txt else 0
+
     def write(self, sources: dict[str, dict]) -> dict:
         """Persist progress; ``sources`` maps a source name to its table name, path and commit."""
         run = self.next_run()
@@ -63,4 +70,7 @@ class Progress:
 
     def reset(self) -> None:
         """Forget all progress: the next run reprocesses from the beginning."""
-        self.fs.delete(self.dir)
+        following = self.generation() + 1
+        self.fs.delete(f"{self.dir}/runs")
+        self.fs.delete(f"{self.dir}/pending")
+        self.fs.write_text(f"{self.dir}/generation", str(following))
