@@ -85,8 +85,10 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
             todo = merge.delete_keys(todo, gone, orders.spec.keys)
     cust = customers.snapshot()
     if dim_changed:
-        changed = customers.increment(c_since, until=c_upto)
-        again = touched_by(orders.snapshot(), changed)
+        again = orders.snapshot()
+        gone_log = customers.expired_before()
+        if gone_log is None or c_since >= gone_log:  # else: which customers changed is not known any more
+            again = touched_by(again, customers.increment(c_since, until=c_upto))
         todo = merge.upsert(again, todo, orders.spec.merge_keys, orders.spec.precombine, "arrival")
 
     todo = todo.drop(COMMIT)
@@ -104,7 +106,7 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
             held.createOrReplaceTempView("orders")
             cust.createOrReplaceTempView("customers")
             rows, waiting = held.sparkSession.sql(sql), unmatched(held, cust)
-        commit = gold.write(rows, "upsert", tag=tag)
+        commit = gold.write(rows, "upsert", tag=tag, cached=sql is GOLD_SQL)
         waiting.write.mode("overwrite").parquet(_pending_path(progress, run))
     finally:
         held.unpersist()

@@ -315,9 +315,10 @@ class KeyedTable:
             writer.parquet(path)
 
     def write(self, batch: DataFrame, method: str = "upsert", sql_transformer: str | None = None,
-              tag: str | None = None) -> int | None:
+              tag: str | None = None, cached: bool = False) -> int | None:
         """Commit ``batch`` with the given write operation; returns the commit id, or None when
-        the batch is empty (nothing is written).  ``tag`` is ``<writer>#<batch>``."""
+        the batch is empty (nothing is written).  ``tag`` is ``<writer>#<batch>``; ``cached``: the
+        caller already keeps what the batch is made of."""
         method = (method or "upsert").lower()
         if method not in METHODS:
             raise ValueError(f"unknown write method {method!r}; expected one of {METHODS}")
@@ -336,14 +337,16 @@ class KeyedTable:
             if markers:
                 batch = merge.semi_join_keys(batch, self._current(markers), spec.merge_keys, "left_anti")
         # the size probe, the log write and the fold all read the batch: compute it once
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        if not cached:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             count, width = batch.agg(F.count(F.lit(1)), F.avg(_row_bytes(batch))).first()
             if not count:
                 return None
             self._commit_rows(batch, method, n, tag, markers, float(width))
         finally:
-            batch.unpersist()
+            if not cached:
+                batch.unpersist()
         self._tidy()
         if spec.catalog_table:
             self.register()

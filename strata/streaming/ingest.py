@@ -69,7 +69,8 @@ def run_silver(spark: SparkSession, landing: str, table: KeyedTable, schema: Str
                 if not bad.isEmpty():
                     bad.write.mode("overwrite").json(f"{held_back}/stream={query}/batch={batch_id}")
                 good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-            n = table.write(good, method, sql_transformer=sql_transformer, tag=f"{query}#{batch_id}")
+            n = table.write(good, method, sql_transformer=sql_transformer, tag=f"{query}#{batch_id}",
+                            cached=has_corrupt and not sql_transformer)
         finally:
             if has_corrupt:
                 df.unpersist()
