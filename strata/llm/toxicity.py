@@ -7,7 +7,7 @@
    spelling; plain tokens are their own only path.
 3. The restored words are scored.  A feature is a word or the first letters of a word; its
    weight is the lower confidence bound of its log-odds between toxic and clean training texts,
-   so rare accidents weigh nothing.  A word counts once per document with its best feature.
+   so rare accidents weigh nothing; first letters count only if several words bring them.  A word counts once per document with its best feature.
 
 The classifier is fitted on at most about ``SAMPLE`` labelled rows, chosen by hash (equal texts
 count once); everything else covers all documents.
@@ -20,6 +20,8 @@ empty result.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 from collections import Counter
@@ -240,16 +242,26 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column | None = None, samp
     weight = odds - CONFIDENCE * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     # at most MAX_FEATURES rows of a model parameter
     best = by_feature.where("feature != ''").withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT).orderBy(F.desc("w"), "feature").limit(MAX_FEATURES)
-    return Model(characters, {r["feature"]: r["w"] for r in best.collect()}, math.log((bad + 0.5) / (good + 0.5)))
+    rows = best.collect()
+    words = sorted((r["feature"][1:], r["bad"]) for r in rows if r["feature"][0] == "=")
+
+    def one_word(prefix: str, n: int) -> bool:
+        """Whether most texts with these first letters have them from one and the same word."""
+        at = bisect.bisect_left(words, (prefix,))
+        return any(m >= 0.5 * n for w, m in itertools.takewhile(lambda x: x[0].startswith(prefix), words[at:]))
+
+    weights = {r["feature"]: r["w"] for r in rows if r["feature"][0] == "=" or not one_word(r["feature"][1:], r["bad"])}
+    return Model(characters, weights, math.log((bad + 0.5) / (good + 0.5)))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``toxicity`` (0 to 1)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast is not pickled with the code, and executors may lack this package
+    shared = docs.sparkSession.sparkContext.broadcast((model.characters, model.weights, model.prior))
     schema = StructType([*docs.schema.fields, StructField("toxicity", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(Model(*shared.value))
         for batch in slices(batches, text_col, 4_000_000):
             scores = [scorer(t) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "toxicity"])
