@@ -117,7 +117,8 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, spans, hashes``: per document the runs of repeated windows already placed
     (start * 2**32 + count) and the hashes of the others."""
     rows = docs.where("doc_id is not null").mapInArrow(_open_windows(window), "h long, doc_id long, span long")
-    found = (rows.withColumn("least", F.min(F.when(F.col("span") == 0, F.col("doc_id"))).over(Window.partitionBy("h")))
+    # a placed run has a scattered key, so it is its own least id; no column is added to the exchange
+    found = (rows.withColumn("least", F.min("doc_id").over(Window.partitionBy("h")))
              .where("span > 0 or least < doc_id"))
     return found.groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("span") > 0, F.col("span"))).alias("spans"),
