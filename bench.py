@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -19,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from strata.plans.registry import QUERIES  # noqa: E402
-from strata.session import build_session, scratch_dir  # noqa: E402
+from strata.session import build_session, checkpoint_root, scratch_dir  # noqa: E402
 from strata.sources.table import KeyedTable  # noqa: E402
 from strata.sources.testdata import table  # noqa: E402
 from strata.spec import TableSpec  # noqa: E402
@@ -81,8 +80,7 @@ EXTRA = {
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     spark = build_session()
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-bench-"))
+    checkpoint_root(spark)  # raises on a cluster without a shared folder
     # JVM / code-generation warm-up on a query outside the timed set
     o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
     (o.join(c, o.o_custkey == c.c_custkey).groupBy("c_mktsegment").agg(F.max("o_orderdate").alias("m"))
