@@ -38,7 +38,7 @@ EM_ROUNDS = 2
 DISCOUNT = 0.75
 BLOCK_WORDS = 400_000
 BLOCK_TOKENS = 8_000_000
-LATTICE_BYTES = 1_500_000
+LATTICE_BYTES = 400_000
 START = b" "  # the vocabulary's word-begin mark; cannot occur inside a word
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLOCKS = "block long, doc_id long, held_out boolean, tokens binary, word binary, number int, n long"
