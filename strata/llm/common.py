@@ -20,7 +20,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def scratch_table(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def scratch_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts lineage (a lost executor re-reads the table instead of recomputing Python work) and
@@ -31,10 +31,7 @@ def scratch_table(df: DataFrame, label: str, partition_by: tuple[str, ...] = ())
     before = spark.conf.get(CLEANUP, "false")
     try:
         spark.conf.set(CLEANUP, "true")
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        df.write.mode("errorifexists").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
@@ -44,11 +41,6 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def fold_case(col: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def words_of(text: str | None, fold: bool = False) -> list[bytes]:
     """UTF-8 words between spaces, tabs and line ends (0x20, 0x09-0x0D); ``fold`` lower-cases A-Z.
 
