@@ -73,7 +73,3 @@ class Chain:
         run_silver(spark, f"{self.root}/raw/orders", orders, ORDERS_SCHEMA, f"{ck}/ingest_orders",
                    quarantine=f"{self.root}/quarantine/orders")
         return run_gold(spark, orders, customers, gold, f"{ck}/gold", refresh_dim=refresh_dim)
-
-
-def run_chain(spark: SparkSession, root: str, refresh_dim: bool = False) -> GoldRun:
-    return Chain(root).run(spark, refresh_dim)

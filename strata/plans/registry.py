@@ -19,7 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from strata.functions.scalar import json_to_row, regex_search, row_to_json
 from strata.operators import merge, versions
 from strata.operators.join import GOLD_COLUMNS, GOLD_SQL, gold_join
-from strata.plans.chain import CUSTOMERS_SCHEMA, ORDERS_SCHEMA, Chain, customers_text, orders_text
+from strata.plans.chain import ORDERS_SCHEMA, Chain, customers_text, orders_text
 from strata.plans.gold import gold_spec, pending_orders, run_gold
 from strata.plans.loader import load_sources
 from strata.session import scratch_dir
