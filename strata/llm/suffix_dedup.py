@@ -187,8 +187,7 @@ def shared_anchors(rows: DataFrame, length: int) -> DataFrame:
     """``doc_id, anchors``: anchors that at least one other document has."""
     counted = rows.where("doc_id is not null").mapInArrow(_counted(length), "key long, doc_id long, known long")
     window = Window.partitionBy("key")
-    open_id = F.when(F.col("known") == 0, F.col("doc_id"))
-    found = counted.withColumn("low", F.min(open_id).over(window)).withColumn("high", F.max(open_id).over(window))
+    found = counted.withColumn("low", F.min("doc_id").over(window)).withColumn("high", F.max("doc_id").over(window))
     return (found.where("known != 0 or low != high").groupBy("doc_id")
             .agg(F.collect_list(F.when(F.col("known") != 0, F.col("known")).otherwise(F.col("key"))).alias("anchors")))
 
