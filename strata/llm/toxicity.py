@@ -27,6 +27,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +54,11 @@ STANDS_FOR = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou", "#": "h",
 }
 COST_SWAP, COST_VOWEL, COST_DROP, COST_SPACE, COST_REPEAT, COST_TWICE, COST_LOST = 1.0, 2.0, 0.5, 3.0, 1.5, 3.0, 9.0
+SETTLE = 64
 SEPARATORS = " .-_*~'"
 _EDGES = ".,;:!?\"'()[]{}<>|*#%&$-_~/\\"
-_ODD = re.compile(r"[^\W\d_][^\w\s]*[\d@$!|+*€£¡.\-_~#(<]+[^\W\d_]|(\w)\1\1|^[\d@$!|+(<€£¡]+[^\W\d_]{2,}|[^\W\d_]{2,}[\d@$!|+€£¡]+$")
+# tokens may be of any length: no branch scans the same run again and again
+_ODD = re.compile(r"[^\W\d_][^\w\s]*+(?:(?<=[@$!|+*€£¡.\-~#(<])|[\d_][\d@$!|+*€£¡.\-_~#(<]*+)[^\W\d_]|(\w)\1\1|^[\d@$!|+(<€£¡]++[^\W\d_]{2}|[^\W\d_]{2}[\d@$!|+€£¡]++$")
 _APART = re.compile(r"(?<!\S)(?:\S[ \t._\-]){2,}\S(?!\S)")
 
 
@@ -99,13 +102,11 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest letters behind a disguised token (may hold spaces)."""
-    states = {(0, 0): (0.0, "")}
+    """The likeliest letters behind a disguised token of any length (may hold spaces)."""
+    states, settled, run = {(0, 0): (0.0, "")}, [], 0
     for i, c in enumerate(token):
         arcs = []  # (letter or "" or " ", cost)
-        run = 1
-        while i >= run and token[i - run] == c:
-            run += 1
+        run = run + 1 if i and token[i - 1] == c else 1
         if c in CLASS_OF:
             long_run = run > 2 or token[i:i + 3 - run + 1] == c * (4 - run)
             arcs.append((c, COST_TWICE if run > 2 else COST_REPEAT if run == 2 and long_run else 0.0))
@@ -132,7 +133,13 @@ def restore(token: str, model: np.ndarray) -> str:
                 if key not in best or value > best[key]:
                     best[key] = value
         states = best or states
-    return max((s + (float(model[a, b, 0]) if b else 0.0), t) for (a, b), (s, t) in states.items())[1].strip()
+        if i % SETTLE == SETTLE - 1:  # what all paths agree on is decided: they go on with the rest
+            n = len(commonprefix([t for _, t in states.values()]))
+            if n:
+                settled.append(next(iter(states.values()))[1][:n])
+                states = {k: (s, t[n:]) for k, (s, t) in states.items()}
+    rest = max((s + (float(model[a, b, 0]) if b else 0.0), t) for (a, b), (s, t) in states.items())[1]
+    return ("".join(settled) + rest).strip()
 
 
 def words_behind(token: str, model: np.ndarray) -> list[str]:
@@ -141,7 +148,7 @@ def words_behind(token: str, model: np.ndarray) -> list[str]:
     words = [bare] if bare else []
     # "@ss" and "m0r0n!" need their outer signs: only sentence marks go
     tight = token.strip(".,;:?\"'()[]{}")
-    if len(tight) <= 64 and _ODD.search(tight):
+    if _ODD.search(tight):
         words += restore(tight, model).split()
         if bare != tight and _ODD.search(bare):
             words += restore(bare, model).split()
@@ -153,7 +160,7 @@ def apart(text: str, model: np.ndarray) -> list[str]:
     found = []
     for m in _APART.finditer(text):
         spelled = m[0]
-        if len(set(spelled)) > 3 and len(spelled) <= 400:
+        if len(set(spelled)) > 3:
             found += restore(spelled, model).split()
     return found
 

@@ -49,3 +49,27 @@ def test_no_labels(spark):
     none = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
     assert toxicity.keep_clean(docs, none).count() == 2
     assert toxicity.keep_clean(docs_frame(spark, []), none).count() == 0
+
+
+def test_any_length(spark, model):
+    spelled = " ".join("theharbourmaster" * 130 + "isanidiot")  # over 2,000 letters
+    assert "idiot" in toxicity.apart(spelled, model.characters)
+    stretched, chained = "st" + "u" * 80 + "pid", "-".join(["harbour"] * 12 + ["1d10t"])
+    assert "stupid" in toxicity.words_behind(stretched, model.characters)
+    assert "idiot" in toxicity.words_behind(chained, model.characters)
+    rows = [(1, spelled), (2, f"you {stretched} m{'o' * 90}ron"), (3, chained + " m0r0n"), (4, "a plain text")]
+    by = {r.doc_id: r.toxicity for r in toxicity.score(docs_frame(spark, rows), model).collect()}
+    assert by[1] > by[4] and by[2] > by[4] and by[3] > by[4]
+
+
+def test_long_tokens_take_linear_time(model):
+    for token in ("a" + "$" * 100_000, "ab" * 100_000, "s" * 100_000, "a1" * 20_000):
+        toxicity.words_behind(token, model.characters)
+
+
+def test_settled_paths_change_nothing(model, monkeypatch):
+    seen = "y0u-stuuupid." * 20 + " ".join("harbourmaster" * 20)
+    whole = toxicity.restore(seen, model.characters)
+    for n in (1, 7, 10_000):
+        monkeypatch.setattr(toxicity, "SETTLE", n)
+        assert toxicity.restore(seen, model.characters) == whole
