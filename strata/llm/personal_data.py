@@ -44,6 +44,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 # token runs that may be an identifier in another spelling
 _AT = re.compile(r"[\w.%+-]+ ?(?:\[at\]|\(at\)|\{at\}|@| at ) ?[\w-]+(?:(?: ?(?:\[dot\]|\(dot\)|\.) ?| dot )[\w-]+)+", re.IGNORECASE)
+_SIGNS = ("@", " at ", "[at]", "(at)", "{at}")  # _AT matches no text without one of them
 _NUMBER = re.compile(r"\(?[0-9](?:[ ().-]{0,2}[0-9]){5,}")
 _CONTEXT = 60
 
@@ -116,9 +117,9 @@ def patterns_of(text: str, start: int, stop: int) -> list[str]:
 def mentions_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
     found = [(k, a, b, True) for k, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
-    low = text.lower() if "@" in text or " at " in text or "at)" in text or "at]" in text or "at}" in text else ""
+    low = text.lower()
     runs = []
-    if low and ("@" in text or " dot " in low or "dot" in low or "(at)" in low or "[at]" in low or "{at}" in low):
+    if any(sign in low for sign in _SIGNS):
         runs += _AT.finditer(text)
     if _DIGIT.search(text):
         runs += _NUMBER.finditer(text)

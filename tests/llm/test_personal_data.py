@@ -64,3 +64,15 @@ def test_table_and_empty(spark):
         assert tuple(r)[:6] == base
         assert set(filter(None, line.split(","))) <= set(r.spans.split(",")) and (r.n_added or r.spans == line)
     assert query(spark, docs_frame(spark, [])).count() == 0
+
+
+def test_spelled_addresses_without_at_sign(spark):
+    for said in ("JOHN (AT) EXAMPLE.COM", "JOHN AT EXAMPLE DOT COM", "john at example.com", "John {At} example.com", "john [at] example [dot] com"):
+        text = f"please write to {said} for details"
+        found = [(text[a:b], seed) for k, a, b, _, seed, _ in pd_.mentions_of(text, []) if k == 0]
+        assert found == [(said, False)]
+    rows = [(i, f"please write to user{i}@mail.org for details") for i in range(20)]
+    rows += [(40, "please write to JOHN AT EXAMPLE DOT COM for details"), (41, "please write to mary at example.com for details"),
+             (42, "we met at home. Then it rained")]
+    by = {r.doc_id: r for r in query(spark, docs_frame(spark, rows)).collect()}
+    assert by[40].spans == "email:16:39" and by[41].spans == "email:16:35" and by[42].spans == ""
