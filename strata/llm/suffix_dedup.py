@@ -15,8 +15,13 @@ yet unique are sorted by recursion on the string of names, the remaining suffixe
 ``length`` bytes; those that agree form a class whose smallest id marks all others.
 
 Skew.  A batch settles what it can see: of equal segments only that of the smallest id leaves
-it, and an anchor that several of its documents share needs no count.  So a passage that stands
-in a third of all documents reaches a task once per batch.
+it, and an anchor that several of its documents share needs no count.  So the inner anchors of a
+passage that stands in a third of all documents reach a task once per batch.  Anchors near its
+edges bring each document's own neighbouring bytes along.  If the distinct segments of an anchor
+hold more than ``SORT_BYTES``, its strings are dealt out again one by one, by their own hash, and a
+batch sends each string once, with its least id.  Only anchors of more than ``SORT_BYTES`` /
+(2 ``length`` - ``ANCHOR``) documents are measured; one that fewer documents repeat with ever
+other neighbours stays whole.
 
 Results for odd input: a null text is empty; texts shorter than ``length`` are kept whole; a
 document with a null id is kept whole and makes no other a repeat; rows that repeat an id and
@@ -196,8 +201,41 @@ def shared_anchors(rows: DataFrame, length: int) -> DataFrame:
 _SEGMENT = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("text", pa.binary())])
 
 
+def _listed(lists: pa.ListArray, doc: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Whether each anchor is in the list of its document."""
+    owner, listed = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy(zero_copy_only=False)
+    if not len(listed):
+        return np.zeros(len(doc), bool)
+    code = lambda d, a: a.view(np.uint64) * np.uint64(_MIX) + d.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    known, mine = np.unique(code(owner, listed)), code(doc, anchor)
+    return known[np.minimum(np.searchsorted(known, mine), len(known) - 1)] == mine
+
+
+def _hash(piece: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little")
+
+
+def _strings(piece: bytes, n: int, length: int) -> Iterator[tuple[int, int, bytes]]:
+    """The ``n`` strings of a segment as ``(place, count, string)``; neighbours that are equal (one byte throughout) stay together."""
+    at = 0
+    while at < n:
+        string, m = piece[at:at + length], 1
+        while at + m < n and piece[at + m + length - 1] == string[0] and piece.startswith(string, at + m):
+            m += 1
+        yield at, m, string
+        at += m
+
+
 def _segments(length: int):
-    """Runs of strings with one shared anchor, as text; repeats inside the batch leave as placed runs (no text)."""
+    """Runs of strings with one shared anchor, as text; repeats inside the batch leave as placed runs (no text).
+
+    The strings of a hot anchor go one by one, under their own hash."""
+
+    def rows_of(out: list[tuple]) -> pa.RecordBatch:
+        a, me, b, n, piece = zip(*out)
+        key = np.array([x & 0xFFFFFFFFFFFFFFFF for x in a], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(me, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()),
+                                           pa.array(piece, pa.binary())], schema=_SEGMENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
@@ -205,30 +243,33 @@ def _segments(length: int):
             ids = batch.column("doc_id").to_pylist()
             texts = _bytes(batch.column("text"))
             anchor, doc, start, _ = _anchors(texts, length)
-            lists = batch.column("anchors")
-            pairs = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy(zero_copy_only=False)
-            # a string takes part if (document, anchor) is listed
-            code = lambda d, a: a.view(np.uint64) * np.uint64(_MIX) + d.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            listed = np.unique(code(*pairs))
             head = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]) if len(anchor) else np.zeros(0, np.int64)
             sizes = np.diff(np.r_[head, len(anchor)])
-            mine = code(doc[head], anchor[head])
-            place = np.minimum(np.searchsorted(listed, mine), max(0, len(listed) - 1))
-            take = listed[place] == mine if len(listed) else np.zeros(len(head), bool)
+            # a string takes part if (document, anchor) is listed
+            take = _listed(batch.column("anchors"), doc[head], anchor[head])
+            head, sizes = head[take], sizes[take]
+            hot = _listed(batch.column("hot"), doc[head], anchor[head])
             seen: dict[bytes, int] = {}
+            strings: dict[bytes, int] = {}
             out = []
-            for a, d, b, n in zip(anchor[head][take].view(np.int64).tolist(), doc[head][take].tolist(), start[head][take].tolist(), sizes[take].tolist()):
+            for a, d, b, n, split in zip(anchor[head].view(np.int64).tolist(), doc[head].tolist(), start[head].tolist(), sizes.tolist(), hot.tolist()):
                 piece, me = texts[d][b:b + n + length - 1], ids[d]
                 first = seen.setdefault(piece, me)
                 if first < me:  # documents come in id order
                     out.append((a ^ (me * 31 + b), me, b, n, None))
-                else:
+                elif not split:
                     out.append((a, me, b, n, piece))
+                else:
+                    for at, m, string in _strings(piece, n, length):
+                        if strings.setdefault(string, me) < me:
+                            out.append((a ^ (me * 31 + b + at), me, b + at, m, None))
+                        else:
+                            out.append((_hash(string), me, b + at, m, piece[at:at + m + length - 1]))
+                        if len(out) >= 50_000:
+                            yield rows_of(out)
+                            out = []
             if out:
-                a, me, b, n, piece = zip(*out)
-                key = np.array([x & 0xFFFFFFFFFFFFFFFF for x in a], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(me, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()),
-                                                  pa.array(piece, pa.binary())], schema=_SEGMENT)
+                yield rows_of(out)
 
     return run
 
@@ -257,6 +298,59 @@ def _marked(pieces: list[bytes], owner: np.ndarray, start: np.ndarray, n: np.nda
     return owner[row[heads]], start[row[heads]] + step[heads], counts
 
 
+def _measured(length: int):
+    """Distinct segments of the listed anchors: anchor, hash of the segment, bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", BATCH_BYTES):
+            texts = _bytes(batch.column("text"))
+            anchor, doc, start, _ = _anchors(texts, length)
+            if not len(anchor):
+                continue
+            head = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])
+            sizes = np.diff(np.r_[head, len(anchor)])
+            take = _listed(batch.column("hot"), doc[head], anchor[head])
+            head, sizes = head[take], sizes[take] + length - 1
+            found = {(a, _hash(texts[d][b:b + n])): n for a, d, b, n in
+                     zip(anchor[head].view(np.int64).tolist(), doc[head].tolist(), start[head].tolist(), sizes.tolist())}
+            if found:
+                a, h = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(np.array(h, np.uint64).view(np.int64)), pa.array(list(found.values()), pa.int64())],
+                                                 names=["anchor", "piece", "n"])
+
+    return run
+
+
+def _lists(pairs: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``doc_id, hot``: per document those of its anchors that are in ``anchors``."""
+    return pairs.join(anchors, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("hot"))
+
+
+def hot_anchors(rows: DataFrame, shared: DataFrame, length: int) -> DataFrame | None:
+    """``doc_id, hot``: anchors whose distinct segments hold more than ``SORT_BYTES``; None if no anchor has enough documents."""
+    pairs = shared.select("doc_id", F.explode("anchors").alias("anchor"))
+    common = scratch_table(pairs.groupBy("anchor").count().where(F.col("count") > SORT_BYTES // (2 * length - ANCHOR)).select("anchor"), "common-anchors")
+    if common.isEmpty():
+        return None
+    held = scratch_table(_lists(pairs, common), "common-lists")
+    pieces = rows.join(held, "doc_id").select("text", "hot").mapInArrow(_measured(length), "anchor long, piece long, n long")
+    large = pieces.groupBy("anchor", "piece").agg(F.max("n").alias("n")).groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") > SORT_BYTES)
+    large = scratch_table(large.select("anchor"), "hot-anchors")
+    if large.isEmpty():
+        return None
+    return scratch_table(_lists(held.select("doc_id", F.explode("hot").alias("anchor")), large), "hot-lists")
+
+
+def dealt_segments(rows: DataFrame, length: int) -> DataFrame:
+    """``anchor, doc_id, start, n, text``: what travels; ``anchor`` is the string's own hash where an anchor is hot."""
+    shared = scratch_table(shared_anchors(rows, length), "anchors")
+    hot = hot_anchors(rows, shared, length)
+    none = F.array().cast("array<long>")
+    listed = rows.join(shared, "doc_id")
+    listed = listed.withColumn("hot", none) if hot is None else listed.join(hot, "doc_id", "left").withColumn("hot", F.coalesce("hot", none))
+    return listed.select("doc_id", "text", "anchors", "hot").mapInArrow(_segments(length), "anchor long, doc_id long, start long, n long, text binary")
+
+
 def _compared(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
@@ -289,10 +383,7 @@ def _compared(length: int):
 
 def repeated_runs(rows: DataFrame, length: int) -> DataFrame:
     """``hit_id, starts, counts``: per document the runs of repeated strings."""
-    shared = scratch_table(shared_anchors(rows, length), "anchors")
-    listed = rows.join(shared, "doc_id").select("doc_id", "text", "anchors")
-    segments = listed.mapInArrow(_segments(length), "anchor long, doc_id long, start long, n long, text binary")
-    runs = (segments.repartition(shuffle_width(rows.sparkSession), "anchor").sortWithinPartitions("anchor")
+    runs = (dealt_segments(rows, length).repartition(shuffle_width(rows.sparkSession), "anchor").sortWithinPartitions("anchor")
             .mapInArrow(_compared(length), "doc_id long, start long, n long"))
     return scratch_table(runs.groupBy(F.col("doc_id").alias("hit_id")).agg(
         F.collect_list(F.struct("start", "n")).alias("runs")).select("hit_id", "runs.start", "runs.n"), "byte-runs")

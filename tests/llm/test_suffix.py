@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strata.llm import suffix_dedup as sd
 from tests.llm.helpers import SF, docs_frame, documents, with_clashes
@@ -84,3 +85,16 @@ def test_small_batches(spark, monkeypatch):
 
 def test_table(spark):
     assert sorted(map(tuple, sd.op5_suffix_dedup(spark, SF).collect()), key=str) == brute(documents(spark))
+
+
+def test_hot_anchor_is_split(spark, monkeypatch):
+    monkeypatch.setattr(sd, "SORT_BYTES", 4000)
+    rng = random.Random(5)
+    own = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = "".join(rng.choice("klmnopqrst") for _ in range(300))
+    rows = [(i, own(60) + passage + own(60)) for i in range(400)] + [(500 + i, own(30) + "-" * (60 + i % 7) + own(30)) for i in range(300)]
+    rows += [(7, rows[7][1]), (None, rows[9][1]), (900, "ab" * 200 + own(9)), (901, "ab" * 300)]
+    frame = docs_frame(spark, rows).repartition(3).select("doc_id", "text")
+    largest = sd.dealt_segments(frame, 50).groupBy("anchor").agg(F.sum(F.length("text")).alias("n")).agg(F.max("n")).first()[0]
+    assert largest <= 4000
+    assert sorted(map(tuple, sd.suffix_dedup(frame, with_text=False).collect()), key=str) == brute(rows)
