@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, lm_score, mixing, packing, personal_data, simhash, substring_dedup, suffix_dedup, topk_search, toxicity
+from strata.llm import (conversation_repair, exact_dedup, lang_id, lm_score, mixing, packing, personal_data, simhash, substring_dedup,
+                        suffix_dedup, topk_search, toxicity, whitening)
 
 QUERIES = {
     "op1_lm_score": lm_score.op1_lm_score,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_personal_data": personal_data.op8_personal_data,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_topk": topk_search.op10_topk,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_language_id": lang_id.op12_language_id,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE = {
