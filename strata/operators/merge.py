@@ -24,17 +24,20 @@ from pyspark.sql import functions as F
 from strata.functions.scalar import key_list
 from strata.spec import COMMIT, DELETED, METHODS
 
-_UNORDERABLE = ("map<",)
-
-
-def _orderable(dtype: str) -> bool:
-    return not any(tok in dtype for tok in _UNORDERABLE)
+def _comparable(name: str, dtype: str) -> Column:
+    """The column, or a text of it where its type has no order (maps, variants): a map's entries
+    sorted by key, so that equal maps compare equal."""
+    if dtype.startswith("map<") and dtype.count("map<") == 1 and "variant" not in dtype:
+        return F.to_json(F.array_sort(F.map_entries(F.col(name))))
+    if "map<" in dtype or "variant" in dtype:
+        return F.to_json(F.struct(F.col(name)))
+    return F.col(name)
 
 
 def tiebreak(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
     """Deterministic tiebreak: remaining columns, descending, NULLs last, in schema order."""
     skip = set(skip)
-    return [F.col(c).desc_nulls_last() for c, t in df.dtypes if c not in skip and _orderable(t)]
+    return [_comparable(c, t).desc_nulls_last() for c, t in df.dtypes if c not in skip]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -91,11 +94,14 @@ def semi_join_keys(df: DataFrame, batch: DataFrame, keys, how: str) -> DataFrame
 
 
 def upsert(base: DataFrame | None, batch: DataFrame, keys, precombine: str | None = None,
-           ordering: str = "arrival") -> DataFrame:
+           ordering: str = "arrival", unique: bool = True) -> DataFrame:
     """Keyed upsert: a key present in the batch is replaced, other stored rows are kept.
 
     arrival     the batch (after precombine) wins over stored rows
     event_time  the greatest precombine value wins, stored rows included (late rows lose)
+
+    ``unique``: every stored key has one row.  Otherwise (rows were appended without looking at
+    keys) an event-time upsert leaves one row of each key that it brings.
     """
     keys = key_list(keys)
     if ordering not in ("arrival", "event_time"):
@@ -106,6 +112,10 @@ def upsert(base: DataFrame | None, batch: DataFrame, keys, precombine: str | Non
     if ordering == "arrival":
         kept = semi_join_keys(base, batch, keys, "left_anti")
         return kept.unionByName(winners, allowMissingColumns=True)
+    if not unique:
+        met = semi_join_keys(base, winners, keys, "left_semi").unionByName(winners, allowMissingColumns=True)
+        return semi_join_keys(base, winners, keys, "left_anti").unionByName(
+            latest_per_key(met, keys, snapshot_order(met, keys, precombine, ordering)), allowMissingColumns=True)
     return _greater_of(base, winners, keys, precombine)
 
 
@@ -115,12 +125,12 @@ def _greater_of(base: DataFrame, winners: DataFrame, keys: Sequence[str], precom
     types = dict(base.dtypes) | {c: t for c, t in winners.dtypes if c not in base.columns}
     columns = list(types)
     lead = [c for c in (precombine_col, COMMIT) if c and c in columns]
-    rank = lead + [c for c in columns if c not in lead and c not in keys and _orderable(types[c])]
+    rank = [F.col(c) for c in lead] + [_comparable(c, types[c]).alias(c) for c in columns if c not in lead and c not in keys]
 
     def side(df: DataFrame, name: str) -> DataFrame:
         full = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in columns])
         return full.select(*[F.col(k).alias(f"__{name}{i}") for i, k in enumerate(keys)],
-                           F.struct(*[F.col(c) for c in rank]).alias(f"__{name}_rank"),
+                           F.struct(*rank).alias(f"__{name}_rank"),
                            F.struct(*[F.col(c) for c in columns]).alias(f"__{name}"))
 
     cond = None
@@ -160,20 +170,24 @@ def bulk_insert(base: DataFrame | None, batch: DataFrame) -> DataFrame:
     return batch if base is None else base.unionByName(batch, allowMissingColumns=True)
 
 
-def tombstones(batch: DataFrame, keys) -> DataFrame:
-    """Key-only rows marking deletion in a log."""
+def tombstones(batch: DataFrame, keys, time: str | None = None) -> DataFrame:
+    """Key-only rows marking deletion in a log; with ``time``, each at the greatest time of its key."""
     keys = key_list(keys)
-    return batch.select(*keys).distinct().withColumn(DELETED, F.lit(True))
+    if time is None or time in keys:
+        marked = batch.select(*keys).distinct()
+    else:
+        marked = batch.groupBy(*keys).agg(F.max(time).alias(time))
+    return marked.withColumn(DELETED, F.lit(True))
 
 
 def apply_write(base: DataFrame | None, batch: DataFrame, method: str, keys, precombine_col=None,
-                ordering: str = "arrival", partition_by=()) -> DataFrame:
+                ordering: str = "arrival", partition_by=(), unique: bool = True) -> DataFrame:
     """The write-operation switch: the new current rows after ``method``."""
     method = (method or "upsert").lower()
     if method not in METHODS:
         raise ValueError(f"unknown write method {method!r}; expected one of {METHODS}")
     if method == "upsert":
-        return upsert(base, batch, keys, precombine_col, ordering)
+        return upsert(base, batch, keys, precombine_col, ordering, unique)
     if method in ("insert", "bulk_insert"):
         return bulk_insert(base, batch)
     if method == "insert_if_absent":
@@ -206,7 +220,7 @@ def fold_batches(batches: Sequence[DataFrame], keys, precombine_col=None, orderi
 
 
 def fold_tail(base: DataFrame | None, tail: DataFrame, methods: dict[int, str], keys, precombine_col=None,
-              ordering: str = "arrival", partition_by=()) -> DataFrame:
+              ordering: str = "arrival", partition_by=(), unique: bool = True) -> DataFrame:
     """Rows after the commits of a log tail of any write methods (tombstones are still in).
 
     A commit that upserts or deletes a key ends every older row of that key; one that overwrites
@@ -218,7 +232,7 @@ def fold_tail(base: DataFrame | None, tail: DataFrame, methods: dict[int, str],
     keyed = [c for c, m in methods.items() if m in ("upsert", "delete")]
     replaced = [c for c, m in methods.items() if m == "insert_overwrite"]
     if len(keyed) == len(methods):
-        return upsert(base, tail, keys, precombine_col, ordering)
+        return upsert(base, tail, keys, precombine_col, ordering, unique)
     if ordering != "arrival":
         raise ValueError("only upserts can be folded by event time")
     rows, old = tail, base

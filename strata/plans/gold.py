@@ -9,7 +9,10 @@ Per run (one consumer, progress keyed by consumer and source):
   3. gold rows = todo ⋈ customer snapshot (the SQL, or any user SQL over views
      ``orders`` / ``customers``) -> keyed upsert into gold, tagged with the run number
   4. todo rows without a customer are kept as ``pending/run=<k>`` for the next run
-  5. orders deleted in the range leave gold and the pending rows
+  5. retraction: the stored gold rows of the orders in ``todo`` are their image before the run; those
+     that the join does not give again (the order moved to another customer, was deleted, lost its
+     customer or no longer passes the SQL) go in the same gold commit.  Orders of customers deleted
+     since the last run are in ``todo`` too: they wait in pending until the customer returns.
   6. progress is written last; a rerun after a failure repeats the same run idempotently
 """
 
@@ -24,7 +27,7 @@ from pyspark.sql.types import StructType
 
 from strata.operators import merge
 from strata.operators.join import GOLD_KEYS, GOLD_SQL, split_join, touched_by, unmatched
-from strata.sources.table import KeyedTable
+from strata.sources.table import MERGE, KeyedTable
 from strata.spec import COMMIT, DELETED, TableSpec
 from strata.streaming.progress import Progress
 
@@ -63,9 +66,10 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
         return GoldRun(run, since, upto, None)
     cust_changed = c_since is not None and c_upto > c_since
     dim_changed = refresh_dim and cust_changed
+    dim_removed = cust_changed and _removes(customers, c_since, c_upto)
     fresh = since is None or upto > since
-    if not fresh and not (cust_changed and (refresh_dim or _has_pending(progress, prev))):
-        # nothing new: no increment, and no customer arrived for a pending order
+    if not fresh and not (cust_changed and (refresh_dim or dim_removed or _has_pending(progress, prev))):
+        # nothing new: no increment, no customer arrived for a pending order, none left
         return GoldRun(run, since, upto, None)
 
     gone = None
@@ -73,7 +77,7 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
         todo = orders.snapshot()
     elif fresh:
         todo = orders.increment(since, until=upto)
-        if "delete" in orders.log_methods(since, upto).values():
+        if _removes(orders, since, upto):
             gone = orders.increment(since, until=upto, with_deletes=True).where(DELETED).select(*orders.spec.keys)
     else:
         todo = orders.snapshot().limit(0)
@@ -84,11 +88,12 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
         if gone is not None:
             todo = merge.delete_keys(todo, gone, orders.spec.keys)
     cust = customers.snapshot()
-    if dim_changed:
+    if dim_changed or dim_removed:
         again = orders.snapshot()
         gone_log = customers.expired_before()
         if gone_log is None or c_since >= gone_log:  # else: which customers changed is not known any more
-            again = touched_by(again, customers.increment(c_since, until=c_upto))
+            changed = customers.increment(c_since, until=c_upto, with_deletes=True)
+            again = touched_by(again, changed if dim_changed else changed.where(DELETED))
         todo = merge.upsert(again, todo, orders.spec.merge_keys, orders.spec.precombine, "arrival")
 
     todo = todo.drop(COMMIT)
@@ -106,28 +111,42 @@ def run_gold(spark: SparkSession, orders: KeyedTable, customers: KeyedTable, gol
             held.createOrReplaceTempView("orders")
             cust.createOrReplaceTempView("customers")
             rows, waiting = held.sparkSession.sql(sql), unmatched(held, cust)
-        commit = gold.write(rows, "upsert", tag=tag, cached=sql is GOLD_SQL)
+        doomed = _stale(gold, held, gone, orders.spec.keys) if since is not None or gold.exists() else None
+        commit = gold.write(rows, "upsert", tag=tag, cached=sql is GOLD_SQL, doomed=doomed)
         waiting.write.mode("overwrite").parquet(_pending_path(progress, run))
     finally:
         held.unpersist()
-    if gone is not None:
-        doomed = merge.semi_join_keys(gold.snapshot(), gone, orders.spec.keys, "left_semi").select(*gold.spec.merge_keys)
-        removed = gold.write(doomed, "delete", tag=f"{progress.dir}/deletes{tag[len(progress.dir):]}")
-        commit = commit if removed is None else removed
     # fixed values: the keys of a progress entry
     progress.write({
         o_src: {"table_name": o_src, "path": orders.root, "last_processed_commit": upto if since is None else max(upto, since)},
         c_src: {"table_name": c_src, "path": customers.root, "last_processed_commit": c_upto},
     })
     orders.passed(progress.dir, upto if since is None else max(upto, since))
-    if refresh_dim:
-        customers.passed(progress.dir, c_upto)
+    customers.passed(progress.dir, c_upto)
     if prev is not None:
         # the previous run's pending rows are superseded once this run's progress is durable
         progress.fs.delete(_pending_path(progress, prev))
     return GoldRun(run, since, upto, commit)
 
 
+def _removes(table: KeyedTable, since: int | None, until: int) -> bool:
+    """Whether commits in (since, until] may have removed keys (or are not known any more)."""
+    expired = table.expired_before()
+    if since is not None and expired is not None and since < expired:
+        return True
+    return bool({"delete", MERGE} & set(table.log_methods(since, until).values()))
+
+
+def _stale(gold: KeyedTable, todo: DataFrame, gone: DataFrame | None, keys) -> DataFrame | None:
+    """Keys of the stored gold rows of the orders that this run decides anew."""
+    if any(k not in gold.spec.merge_keys for k in keys) or not gold.exists():
+        return None
+    decided = todo.select(*keys)
+    if gone is not None:
+        decided = decided.unionByName(gone)
+    return merge.semi_join_keys(gold.snapshot().select(*gold.spec.merge_keys), decided, keys, "left_semi")
+
+
 def _has_pending(progress: Progress, run: int | None) -> bool:
     if run is None:
         return False

@@ -38,6 +38,14 @@ FROM orders"""
 ARRIVAL_USER = f"SELECT {EVC} FROM events {_rn('user_id', 'event_id % 4 DESC, ts DESC')}"
 ARRIVAL_USER_TYPE = f"SELECT {EVC} FROM events {_rn('user_id, event_type', 'event_id % 4 DESC, ts DESC')}"
 
+# orders, deletes at the ship date of returned lines, and the orders again 30 days later: the latest wins
+TIMED_DELETES = f"""
+SELECT * FROM (
+    SELECT orderid, customer_id, ts, order_value, priority, 0 AS "commit", false AS deleted FROM ({ORDERS_FEED})
+    UNION ALL SELECT l_orderkey, NULL, max(l_shipdate), NULL, NULL, 1, true FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey
+    UNION ALL SELECT orderid, customer_id, ts + INTERVAL 30 DAY, order_value, 'AGAIN', 2, false FROM ({ORDERS_FEED}))
+{_rn('orderid', 'ts DESC, "commit" DESC')}"""
+
 ORACLE: dict[str, str] = {
     "precombine": f"SELECT {EV} FROM events {_rn('user_id', 'ts DESC NULLS LAST, event_id DESC')}",
     "upsert_arrival": ARRIVAL_USER,
@@ -124,6 +132,37 @@ ORACLE: dict[str, str] = {
     "gold_deletes": f"""
         SELECT * FROM ({GOLD}) g
         WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R' AND l.l_orderkey = g.orderid)""",
+    "event_time_deletes": f"""SELECT orderid, customer_id, ts, order_value, priority, CAST("commit" AS BIGINT) AS "commit" FROM ({TIMED_DELETES}) WHERE NOT deleted""",
+    "event_time_deletes_increment": f"""SELECT orderid, ts, CAST("commit" AS BIGINT) AS "commit", deleted FROM ({TIMED_DELETES}) WHERE "commit" > 0""",
+    "event_time_duplicates": f"""
+        SELECT f.*, CAST(1 AS BIGINT) AS "commit" FROM ({ORDERS_FEED}) f JOIN orders o ON f.orderid = o.o_orderkey, range(2)
+        WHERE o.o_orderstatus = 'O'""",
+    "gold_moved_orders": f"""
+        SELECT c.customer_id, c.name, c.state, c.city, c.email, o.orderid, o.ts AS order_ts, o.order_value, o.priority
+        FROM ({CUSTOMERS_FEED}) c JOIN ({ORDERS_FEED}) o
+          ON c.customer_id = o.customer_id + CASE WHEN o.orderid % 3 = 0 THEN 1 ELSE 0 END""",
+    "gold_removed_customer": f"SELECT * FROM ({GOLD}) WHERE city <> 'BUILDING' OR state = 'NATION_2'",
+    "get_or_insert": f"""
+        WITH e AS (SELECT {EV}, CAST(ts AS DATE) AS day, event_id % 4 AS arrival FROM events),
+        base AS (SELECT *, CAST(0 AS BIGINT) AS "commit" FROM e WHERE arrival = 0 {_rn('user_id, day', 'ts DESC')}),
+        batch AS (SELECT *, CAST(1 AS BIGINT) AS "commit" FROM e WHERE arrival > 0 AND event_type = 'click' {_rn('user_id, day', 'ts DESC, event_id DESC')})
+        SELECT s.* FROM base s SEMI JOIN batch b ON s.user_id = b.user_id AND s.day = b.day
+        UNION ALL
+        SELECT b.* FROM batch b ANTI JOIN base s ON s.user_id = b.user_id AND s.day = b.day""",
+    "snapshot_as_of": f"SELECT {EVC} FROM events WHERE event_id % 4 <= 1 {_rn('user_id', 'event_id % 4 DESC, ts DESC')}",
+    "change_rows": f"""
+        WITH old AS (SELECT * FROM events WHERE event_id % 4 <= 1 {_rn('user_id', 'event_id % 4 DESC, ts DESC')}),
+        new AS (SELECT * FROM ({ARRIVAL_USER}) WHERE "commit" > 1)
+        SELECT n.user_id, CASE WHEN o.event_id IS NULL THEN 'insert' ELSE 'update' END AS change, o.event_id AS before_id, n.event_id AS after_id
+        FROM new n LEFT JOIN old o ON n.user_id = o.user_id""",
+    "delete_without_partition": f"""
+        SELECT * FROM ({ARRIVAL_USER_TYPE}) e ANTI JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') c ON e.user_id = c.c_custkey""",
+    "ingest_schema_drift": """
+        SELECT o_orderkey AS orderid, o_totalprice AS price, strftime(o_orderdate, '%Y-%m-%d') AS ts,
+               CASE WHEN o_orderkey % 2 = 0 THEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) END AS rank,
+               CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS status,
+               CASE WHEN o_orderkey % 2 = 1 THEN '{"rank":"' || o_orderpriority || '"}' END AS _rescued
+        FROM orders""",
     "regex_search": """SELECT * FROM events WHERE regexp_matches(props, '"[a-z]+": ?[0-9]*[05]\\b')""",
     "file_inventory": """
         SELECT 'a' AS folder, count(*) AS num_rows, true AS has_bytes FROM orders

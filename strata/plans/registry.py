@@ -435,6 +435,110 @@ def gold_deletes(spark, d):
     return gold.snapshot().select(*GOLD_COLUMNS)
 
 
+def event_time_deletes(spark, d, table_type="cow"):
+    """Orders by event time; returned lines delete their order at their ship date, and every order comes
+    again dated 30 days later.  The latest of the three wins: a later delete stays, a later row revives."""
+    t = _event_time_deletes(spark, d, table_type)
+    return t.snapshot()
+
+
+def _event_time_deletes(spark, d, table_type):
+    t = KeyedTable(spark, TableSpec(name="orders", path=scratch_dir(spark, "etd"), keys="orderid", precombine="ts", ordering="event_time",
+                                    table_type=table_type))
+    feed = orders_feed(spark, d)
+    t.write(feed)
+    t.write(table(spark, d, "lineitem").where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("orderid"), F.col("l_shipdate").alias("ts")), "delete")
+    t.write(feed.withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 DAY")).withColumn("priority", F.lit("AGAIN")))
+    return t
+
+
+def event_time_deletes_increment(spark, d):
+    """The same commits, merge-on-read: keys whose winner, a row or a tombstone, came after the first commit."""
+    inc = _event_time_deletes(spark, d, "mor").increment(0, with_deletes=True)
+    return inc.select("orderid", "ts", COMMIT, F.coalesce(DELETED, F.lit(False)).alias("deleted"))
+
+
+def event_time_duplicates(spark, d):
+    """Open orders are appended again by bulk_insert on an event-time table: the increment keeps every copy."""
+    t = KeyedTable(spark, TableSpec(name="orders", path=scratch_dir(spark, "etdup"), keys="orderid", precombine="ts", ordering="event_time"))
+    o = table(spark, d, "orders")
+    feed = orders_feed(spark, d)
+    opened = feed.join(o.where(F.col("o_orderstatus") == "O").select(F.col("o_orderkey").alias("orderid")), "orderid", "left_semi")
+    t.write(feed)
+    t.write(opened.unionByName(opened), "bulk_insert")
+    return t.increment(0)
+
+
+def gold_moved_orders(spark, d):
+    """A third of the orders move to the next customer after gold was built: their old gold rows go."""
+    orders = _orders_table(spark, d, "gm_orders")
+    customers = _customers_table(spark, d, "gm_customers")
+    gold = _gold(spark, "gm_gold")
+    progress = scratch_dir(spark, "gm_progress")
+    run_gold(spark, orders, customers, gold, progress)
+    orders.write(orders_feed(spark, d).where(F.col("orderid") % 3 == 0).withColumn("customer_id", F.col("customer_id") + 1))
+    run_gold(spark, orders, customers, gold, progress)
+    return gold.snapshot().select(*GOLD_COLUMNS)
+
+
+def gold_removed_customer(spark, d):
+    """Customers of one segment are deleted after gold was built, those of one state come back: gold
+    loses the orders of the first and regains those of the second."""
+    orders = _orders_table(spark, d, "gr_orders")
+    customers = _customers_table(spark, d, "gr_customers")
+    gold = _gold(spark, "gr_gold")
+    progress = scratch_dir(spark, "gr_progress")
+    run_gold(spark, orders, customers, gold, progress)
+    left = customers_feed(spark, d).where(F.col("city") == "BUILDING")
+    customers.write(left.select("customer_id"), "delete")
+    run_gold(spark, orders, customers, gold, progress)
+    customers.write(left.where(F.col("state") == "NATION_2"))
+    run_gold(spark, orders, customers, gold, progress)
+    return gold.snapshot().select(*GOLD_COLUMNS)
+
+
+def get_or_insert(spark, d):
+    """Key (user_id, day): commit 0 is stored; the rows that hold for the keys of the clicks that come later."""
+    ev = events_log(spark, d).withColumn("day", F.to_date("ts")).withColumnRenamed(COMMIT, "arrival")
+    t = KeyedTable(spark, TableSpec(name="events", path=scratch_dir(spark, "goi"), keys="user_id,day", precombine="ts"))
+    t.write(ev.where("arrival = 0"))
+    return t.get_or_insert(ev.where("arrival > 0 AND event_type = 'click'"))
+
+
+def snapshot_as_of(spark, d):
+    """Four commits and two compactions; the rows as they were after the second commit."""
+    t = _events_table(spark, d, "as_of", keys="user_id", precombine="ts", table_type="mor", compact_every=3)
+    return t.snapshot(as_of=1)
+
+
+def change_rows(spark, d):
+    """Before and after images of the users whose row changed in the last two of four commits."""
+    t = _events_table(spark, d, "changes", keys="user_id", precombine="ts", table_type="mor")
+    return t.changes(1).select("user_id", "change", F.col("before.event_id").alias("before_id"), F.col("after.event_id").alias("after_id"))
+
+
+def delete_without_partition(spark, d):
+    """Key-only delete on a table whose keys are unique per partition: the key goes from every partition."""
+    t = _events_table(spark, d, "free_delete", keys="user_id", precombine="ts", partition_by="event_type", scope="partition")
+    t.write(table(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("user_id")), "delete")
+    return t.snapshot()
+
+
+def ingest_schema_drift(spark, d):
+    """Two landings without a declared schema.  The second brings a field that the first had not
+    (``status``) and another type for one (``rank``: a number, then text, which does not fit)."""
+    root = scratch_dir(spark, "drift")
+    o = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("orderid"), F.col("o_totalprice").alias("price"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("ts"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("rank"), F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+    t = KeyedTable(spark, TableSpec(name="orders", path=f"{root}/silver", keys="orderid", precombine="ts"))
+    write_landing(o.where("orderid % 2 = 0").select("orderid", "price", "ts", "rank"), f"{root}/raw/first")
+    run_silver(spark, f"{root}/raw", t, None, f"{root}/ck")
+    write_landing(o.where("orderid % 2 = 1").select("orderid", "price", "ts", F.col("priority").alias("rank"), "status"), f"{root}/raw/second")
+    run_silver(spark, f"{root}/raw", t, None, f"{root}/ck")
+    return t.snapshot().drop(COMMIT)
+
+
 def layered_chain(spark, d):
     """Raw JSON landing -> silver (streams) -> gold, in two rounds of landing."""
     root = scratch_dir(spark, "chain")
@@ -533,4 +637,14 @@ QUERIES: dict[str, Query] = {
     "reset_reprocess": reset_reprocess,
     "gold_deletes": gold_deletes,
     "regex_search": regex_search_query,
+    "event_time_deletes": event_time_deletes,
+    "event_time_deletes_increment": event_time_deletes_increment,
+    "event_time_duplicates": event_time_duplicates,
+    "gold_moved_orders": gold_moved_orders,
+    "gold_removed_customer": gold_removed_customer,
+    "get_or_insert": get_or_insert,
+    "snapshot_as_of": snapshot_as_of,
+    "change_rows": change_rows,
+    "delete_without_partition": delete_without_partition,
+    "ingest_schema_drift": ingest_schema_drift,
 }

@@ -20,6 +20,11 @@ copy-on-write  every commit folds the buckets that its keys fall in into ``base/
 merge-on-read  every write method only appends to the log; reads fold ``base ∪ log tail``, and
                a base is written every ``compact_every`` commits.  Both give the same rows.
 
+event-time tables keep tombstones: a delete takes part in the choice of the winner with its own time
+               (or, without one, the time of the row it removes), so that a late row older than the
+               delete does not revive the key.  In a base they lie beside the rows, in buckets
+               ``-1 - b``, which readers of rows never open.
+
 Old bases and log commits are removed after each commit, once it is visible: the newest
 ``keep_versions`` bases stay, and log commits stay while they are among the newest
 ``keep_commits``, are not folded yet, or a registered reader has not passed them.
@@ -53,6 +58,16 @@ _WIDENS = {"smallint": ("tinyint",), "int": ("tinyint", "smallint"), "bigint": (
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
+MERGE = "merge"  # an upsert that removes other keys in the same commit
+# how the rows of a write method lie in the log
+_LOGGED = {"insert_if_absent": "insert", "bulk_insert": "insert", MERGE: "upsert"}
+
+
+def _home(bucket: int) -> int:
+    """The bucket of a base directory; tombstones of bucket b lie in ``-1 - b``."""
+    return bucket if bucket >= 0 else -1 - bucket
+
+
 def _digest(text: str) -> str:
     return hashlib.md5(text.encode("utf-8")).hexdigest()[:16]
 
@@ -192,8 +207,9 @@ class KeyedTable:
         """bucket -> version directory that holds its rows."""
         return {int(b): v for b, v in json.loads(self.fs.read_text(f"{self.meta}/bases/{version}")).items()}
 
-    def base(self, version: int | None = None, buckets=None, markers=None) -> DataFrame | None:
-        """Rows of a base (the newest), of some buckets only if asked; None without a base."""
+    def base(self, version: int | None = None, buckets=None, markers=None, gone: bool = False) -> DataFrame | None:
+        """Rows of a base (the newest), of some buckets only if asked; None without a base.
+        ``gone``: with its tombstones (event-time tables)."""
         vs = self.base_versions(markers)
         if version is None:
             if not vs:
@@ -202,36 +218,63 @@ class KeyedTable:
         elif version not in vs:
             raise ValueError(f"base version {version} of {self.spec.name!r} is not available")
         dirs = [f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}" for b, v in sorted(self._manifest(version).items())
-                if buckets is None or b in buckets]
+                if (gone or b >= 0) and (buckets is None or _home(b) in buckets)]
         if not dirs:
             return self._empty()
         return self._read(self.base_dir, dirs).drop(VERSION, BUCKET)
 
-    def _current(self, markers=None) -> DataFrame:
+    def _current(self, markers=None, as_of: int | None = None) -> DataFrame:
         """Current rows, with the commit column and no deleted keys."""
+        return self._live(self._state(markers, as_of))
+
+    def _state(self, markers=None, as_of: int | None = None, gone: bool = False) -> DataFrame:
+        """Rows after commit ``as_of`` (the last one): the newest base up to it and the log after that base.
+        ``gone``: with the tombstones that an event-time table keeps."""
         markers = self._markers() if markers is None else markers
         if not markers:
             return self._empty()
-        vs = self.base_versions(markers)
+        vs = [v for v in self.base_versions(markers) if as_of is None or v <= as_of]
         m = vs[-1] if vs else None
-        base = self.base(m, markers=markers) if m is not None else None
-        tail = self.log_methods(since=m, markers=markers)
+        tail = self.log_methods(since=m, until=as_of, markers=markers)
+        # tombstones of the base decide only against rows that come after it
+        gone = self._timed and (gone or bool(tail))
+        base = self.base(m, markers=markers, gone=gone) if m is not None else None
         if not tail:
             return base if base is not None else self._empty()
-        return self._live(self._folded(base, self.log(since=m, markers=markers), tail))
+        return self._folded(base, self.log(since=m, until=as_of, markers=markers), tail)
+
+    @property
+    def _timed(self) -> bool:
+        return self.spec.ordering == "event_time"
 
     def _folded(self, base: DataFrame | None, tail: DataFrame, methods: dict[int, str]) -> DataFrame:
         spec = self.spec
-        methods = {c: "insert" if m == "bulk_insert" else m for c, m in methods.items()}
-        return merge.fold_tail(base, tail, methods, spec.merge_keys, spec.precombine, spec.ordering, spec.partition_by)
+        methods = {c: _LOGGED.get(m, m) for c, m in methods.items()}
+        return merge.fold_tail(base, tail, methods, spec.merge_keys, spec.precombine, spec.ordering, spec.partition_by,
+                               unique=not self._holds_duplicates())
+
+    def _holds_duplicates(self) -> bool:
+        """Whether rows were ever written without looking at their keys."""
+        return self.fs.exists(f"{self.meta}/duplicates")
 
     @staticmethod
     def _live(rows: DataFrame) -> DataFrame:
         return rows.where(F.col(DELETED).isNull() | ~F.col(DELETED)) if DELETED in rows.columns else rows
 
-    def snapshot(self) -> DataFrame:
-        """Every current row (``select *`` of the table), with its commit stamp."""
-        return self._current().drop(DELETED)
+    def snapshot(self, as_of: int | None = None) -> DataFrame:
+        """Every current row (``select *`` of the table), with its commit stamp; ``as_of``: the rows as
+        they were after that commit, as far back as retention reaches."""
+        if as_of is None:
+            return self._current().drop(DELETED)
+        markers = self._markers()
+        if not markers or as_of > max(markers) or as_of < 0:
+            raise ValueError(f"{self.spec.name!r} has no commit {as_of}; its last one is {max(markers) if markers else None}")
+        vs = [v for v in self.base_versions(markers) if v <= as_of]
+        expired = self.expired_before()
+        if expired is not None and (not vs or vs[-1] < min(expired, as_of)):
+            raise ValueError(f"commit {as_of} of {self.spec.name!r} is beyond retention (log expired up to {expired}); "
+                             f"bases kept: {self.base_versions(markers)}")
+        return self._current(markers, as_of).drop(DELETED)
 
     def increment(self, since: int, until: int | None = None, with_deletes: bool = False) -> DataFrame:
         """Keys changed in commits (since, until], each at its latest version; rows of insert
@@ -247,19 +290,51 @@ class KeyedTable:
         if spec.ordering == "arrival":
             out = self._folded(None, changed, methods) if methods else changed
             return out if with_deletes else self._live(out).drop(DELETED)
-        # event_time: the newest base at or before ``until`` already holds the winner of every
-        # key up to its commit, so candidates are that base plus the log after it, not all history
+        # event_time: the newest base at or before ``until`` already holds the winner of every key up
+        # to its commit.  Its rows in range stand unless the log after it has their key; the keys of
+        # that log are settled against the base rows of the same keys.
         vs = [v for v in self.base_versions(markers) if until is None or v <= until]
-        if vs:
-            pool = self.base(vs[-1], markers=markers).unionByName(self.log(since=vs[-1], until=until, markers=markers), allowMissingColumns=True)
-        elif expired is not None:
+        if not vs and expired is not None:
             raise ValueError(f"no base of {spec.name!r} reaches back to {until} and its log was expired up to {expired}")
+        base = self.base(vs[-1], markers=markers, gone=True) if vs else None
+        after = self.log_methods(since=vs[-1] if vs else None, until=until, markers=markers)
+        in_range = F.col(COMMIT) > F.lit(since)
+        if until is not None:
+            in_range = in_range & (F.col(COMMIT) <= F.lit(until))
+        if not after:
+            out = base.where(in_range)
         else:
-            pool = self.log(until=until, markers=markers)
-        out = versions.increment(changed, since, spec.merge_keys, spec.precombine, "event_time", until, candidates=pool).drop(DELETED)
-        if with_deletes:
-            return out.withColumn(DELETED, F.lit(False))
-        return out
+            tail = self.log(since=vs[-1] if vs else None, until=until, markers=markers)
+            met = None
+            if base is not None:
+                met = merge.semi_join_keys(base, tail, spec.merge_keys, "left_semi")
+            out = self._folded(met, tail, after).where(in_range)
+            if base is not None and vs[-1] > since:
+                out = merge.semi_join_keys(base.where(in_range), tail, spec.merge_keys, "left_anti").unionByName(out, allowMissingColumns=True)
+        return out if with_deletes else self._live(out).drop(DELETED)
+
+    def changes(self, since: int, until: int | None = None) -> DataFrame:
+        """Change rows of commits (since, until]: the keys, ``change`` (insert, update or delete) and the images
+        ``before`` (as of ``since``) and ``after`` of the row (structs, null where there is none).
+
+        Only the keys of the increment are looked up in the older state, which must be within retention."""
+        if self._holds_duplicates():
+            raise ValueError(f"{self.spec.name!r} holds rows written without looking at their keys: a key has no single image")
+        keys = self.spec.merge_keys
+        changed = self.increment(since, until, with_deletes=True)
+        images = [c for c in changed.columns if c != DELETED]
+        older = self._typed_nulls(merge.semi_join_keys(self.snapshot(as_of=since), changed, keys, "left_semi"), images)
+        gone = F.coalesce(F.col(DELETED), F.lit(False)) if DELETED in changed.columns else F.lit(False)
+        after = changed.select(*[F.col(k).alias(f"__new{i}") for i, k in enumerate(keys)],
+                               F.when(~gone, F.struct(*images)).alias("after"))
+        before = older.select(*[F.col(k).alias(f"__old{i}") for i, k in enumerate(keys)], F.struct(*images).alias("before"))
+        cond = None
+        for i in range(len(keys)):
+            c = F.col(f"__new{i}").eqNullSafe(F.col(f"__old{i}"))
+            cond = c if cond is None else cond & c
+        change = F.when(F.col("after").isNull(), "delete").when(F.col("before").isNull(), "insert").otherwise("update")
+        return (after.join(before, cond, "left").where("before IS NOT NULL OR after IS NOT NULL")
+                .select(*[F.col(f"__new{i}").alias(k) for i, k in enumerate(keys)], change.alias("change"), "before", "after"))
 
     def history(self, keep: int) -> DataFrame:
         """Log rows of the newest ``keep`` commits of every key."""
@@ -314,11 +389,58 @@ class KeyedTable:
         with self._sized_writes():
             writer.parquet(path)
 
+    def get_or_insert(self, batch: DataFrame, tag: str | None = None) -> DataFrame:
+        """The row that holds for every key of the batch: the stored one, or else the batch's, which is
+        stored by this call.  The answer is read as of the commit made, so later writes do not change it
+        while that commit is retained."""
+        keys = self.spec.merge_keys
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            made = self.write(batch, "insert_if_absent", tag=tag, cached=True)
+        finally:
+            batch.unpersist()
+        now = made if made is not None else self.last_commit()
+        if now is None:  # an empty batch on an empty table
+            return self._aligned(batch).limit(0).withColumn(COMMIT, F.lit(None).cast("bigint"))
+        return merge.semi_join_keys(self.snapshot(as_of=now), batch, keys, "left_semi")
+
+    def _deletion(self, batch: DataFrame, markers: dict) -> DataFrame:
+        """The keys a delete removes, with their partition and time where the table needs them.
+
+        Columns that the batch does not bring come from the stored rows of its keys: on a table of
+        partition scope a key without partition goes from every partition, on an event-time table
+        a delete without a time takes the time of the row it removes."""
+        spec = self.spec
+        lacking = [k for k in spec.keys if k not in batch.columns]
+        if lacking:
+            raise ValueError(f"a delete on {spec.name!r} needs the key column(s) {lacking}")
+        need = list(dict.fromkeys([*spec.merge_keys, *([spec.precombine] if self._timed else [])]))
+        brought = [c for c in need if c in batch.columns]
+        if len(brought) == len(need):
+            return batch.select(*need)
+        if not markers:
+            return self._typed_nulls(batch.select(*brought), need).limit(0)
+        by = [k for k in spec.merge_keys if k in brought]
+        stored = self._current(markers)
+        if spec.precombine in brought and self._timed:
+            named = batch.select(*[F.col(k).alias(f"__at_{i}") for i, k in enumerate(by)], F.col(spec.precombine).alias("__time"))
+            cond = None
+            for i, k in enumerate(by):
+                c = stored[k].eqNullSafe(F.col(f"__at_{i}"))
+                cond = c if cond is None else cond & c
+            return stored.drop(spec.precombine).join(named, cond).withColumn(spec.precombine, F.col("__time")).select(*need)
+        return merge.semi_join_keys(stored, batch, by, "left_semi").select(*need)
+
+    def _typed_nulls(self, df: DataFrame, columns: list[str]) -> DataFrame:
+        known = {f.name: f.dataType for f in (self.schema() or StructType()).fields}
+        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(known.get(c, "string")).alias(c) for c in columns])
+
     def write(self, batch: DataFrame, method: str = "upsert", sql_transformer: str | None = None,
-              tag: str | None = None, cached: bool = False) -> int | None:
+              tag: str | None = None, cached: bool = False, doomed: DataFrame | None = None) -> int | None:
         """Commit ``batch`` with the given write operation; returns the commit id, or None when
         the batch is empty (nothing is written).  ``tag`` is ``<writer>#<batch>``; ``cached``: the
-        caller already keeps what the batch is made of."""
+        caller already keeps what the batch is made of.  ``doomed`` (upserts): keys that go with the
+        same commit, so that readers never see the new rows without the removals."""
         method = (method or "upsert").lower()
         if method not in METHODS:
             raise ValueError(f"unknown write method {method!r}; expected one of {METHODS}")
@@ -331,7 +453,18 @@ class KeyedTable:
         n, done = self._claim(tag, markers)
         if done:
             return n
+        if method == "delete":
+            batch = self._deletion(batch, markers)
         batch = self._aligned(batch)
+        if doomed is not None:
+            if method != "upsert":
+                raise ValueError("only an upsert can remove other keys in the same commit")
+            method = MERGE
+            # a key that the batch brings is not removed
+            doomed = merge.semi_join_keys(self._aligned(self._deletion(doomed, markers)), batch, spec.merge_keys, "left_anti")
+            doomed = doomed.persist(StorageLevel.MEMORY_AND_DISK)
+            batch = batch.withColumn(DELETED, F.lit(None).cast("boolean")).unionByName(
+                doomed.withColumn(DELETED, F.lit(True)), allowMissingColumns=True)
         if method == "insert_if_absent":
             batch = merge.precombine(batch, spec.merge_keys, spec.precombine)
             if markers:
@@ -347,6 +480,8 @@ class KeyedTable:
         finally:
             if not cached:
                 batch.unpersist()
+            if doomed is not None:
+                doomed.unpersist()
         self._tidy()
         if spec.catalog_table:
             self.register()
@@ -356,20 +491,20 @@ class KeyedTable:
         spec = self.spec
         self._save_spec()
         stamped = batch.withColumn(COMMIT, F.lit(n).cast("bigint"))
-        stored = {"insert_if_absent": "insert", "bulk_insert": "insert"}.get(method, method)
+        stored = _LOGGED.get(method, method)
         rows = stamped
-        if method == "upsert":
+        if stored == "upsert":
             rows = merge.precombine(stamped, spec.merge_keys, spec.precombine)
         elif method == "delete":
-            rows = merge.tombstones(stamped, spec.merge_keys).withColumn(COMMIT, F.lit(n).cast("bigint"))
-            known = {f.name: f.dataType for f in (self.schema() or StructType()).fields}
-            for p in spec.partition_by:
-                if p not in rows.columns:
-                    # a key-only delete does not know the row's partition: default partition
-                    rows = rows.withColumn(p, F.lit(None).cast(known.get(p, "string")))
+            rows = merge.tombstones(stamped, spec.merge_keys, spec.precombine if self._timed else None)
+            # a key-only delete does not know the row's partition: default partition
+            parts = [p for p in spec.partition_by if p not in rows.columns]
+            rows = self._typed_nulls(rows, [*rows.columns, *parts]).withColumn(COMMIT, F.lit(n).cast("bigint"))
+        if method not in ("upsert", "delete", MERGE, "insert_if_absent") and not self._holds_duplicates():
+            self.fs.write_text(f"{self.meta}/duplicates", method)
         self._save_schema(stamped.schema)
         self._write_rows(rows.drop(COMMIT), f"{self.log_dir}/commit={n}", list(spec.partition_by), row_bytes)
-        if spec.table_type == "cow" or (spec.ordering == "event_time" and stored != "upsert"):
+        if spec.table_type == "cow" or (self._timed and stored not in ("upsert", "delete")):
             self._fold_commit(rows, stored, n, markers, row_bytes)
         self._mark(n, method, tag)
 
@@ -379,20 +514,24 @@ class KeyedTable:
         vs = self.base_versions(markers)
         current_base = bool(vs) and not self.log_methods(since=vs[-1], markers=markers)
         if not markers:
-            folded, held = rows.where(F.lit(method != "delete")), {}
+            folded, held = rows, {}
         elif current_base and method != "insert_overwrite":
             touched = {r[0] for r in rows.select(self._bucket().alias("b")).distinct().collect()}  # at most ``buckets``
             manifest = self._manifest(vs[-1])
-            held = {b: v for b, v in manifest.items() if b not in touched}
-            base = self.base(vs[-1], touched, markers) if touched & set(manifest) else None
+            held = {b: v for b, v in manifest.items() if _home(b) not in touched}
+            base = self.base(vs[-1], touched, markers, gone=self._timed) if touched & {_home(b) for b in manifest} else None
             folded = self._apply(base, rows, method)
         else:
-            folded, held = self._apply(self._current(markers), rows, method), {}
-        self._write_base(self._live(folded), n, row_bytes, held)
+            state = self._state(markers, gone=True)
+            folded, held = self._apply(state if self._timed else self._live(state), rows, method), {}
+        self._write_base(folded, n, row_bytes, held)
 
     def _apply(self, base: DataFrame | None, rows: DataFrame, method: str) -> DataFrame:
         spec = self.spec
-        return merge.apply_write(base, rows, method, spec.merge_keys, spec.precombine, spec.ordering, spec.partition_by)
+        if self._timed and method == "delete":
+            method = "upsert"  # tombstones compete by their time
+        return merge.apply_write(base, rows, method, spec.merge_keys, spec.precombine, spec.ordering, spec.partition_by,
+                                 unique=not self._holds_duplicates())
 
     def _mark(self, n: int, method: str, tag: str | None) -> None:
         stamp = datetime.now(timezone.utc).isoformat()
@@ -406,13 +545,17 @@ class KeyedTable:
             self.fs.write_text(path, json.dumps(dataclasses.asdict(self.spec)))
 
     def _write_base(self, rows: DataFrame, n: int, row_bytes: float, held: dict[int, int] | None = None, sort_by=()) -> None:
-        """Rows of the folded buckets to ``base/_v=<n>``, then the manifest of base n."""
-        schema = self.schema()
-        cols = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in schema.fields if f.name != DELETED]
+        """Rows of the folded buckets to ``base/_v=<n>``, then the manifest of base n.  Tombstones go
+        to buckets of their own on event-time tables and are dropped on others."""
+        fields = [f.name for f in self.schema().fields if f.name != DELETED or self._timed]
         path = f"{self.base_dir}/{VERSION}={n}"
         parts = [BUCKET, *self.spec.partition_by]
-        self._write_rows(rows.select(*cols).withColumn(BUCKET, self._bucket()), path, parts, row_bytes, sort_by)
+        bucket = self._bucket()
+        if self._timed:
+            rows = self._typed_nulls(rows, fields).withColumn(BUCKET, F.when(F.col(DELETED), F.lit(-1) - bucket).otherwise(bucket))
+        else:
+            rows = self._typed_nulls(self._live(rows), fields).withColumn(BUCKET, bucket)
+        self._write_rows(rows, path, parts, row_bytes, sort_by)
         made = {int(name.split("=")[1]): n for name, is_dir, *_ in self.fs.children(path) if is_dir and name.startswith(f"{BUCKET}=")}
         self.fs.write_text(f"{self.meta}/bases/{n}", json.dumps({str(b): v for b, v in {**(held or {}), **made}.items()}))
 
@@ -469,7 +612,7 @@ class KeyedTable:
         vs = self.base_versions(markers)
         if vs and vs[-1] == last:
             return last
-        rows = self._current(markers)
+        rows = self._state(markers, gone=True)
         self._write_base(rows, last, self._mean_row_bytes(rows))
         return last
 
@@ -482,7 +625,7 @@ class KeyedTable:
         markers = self._markers()
         if not markers:
             return None
-        rows = self._current(markers)
+        rows = self._state(markers, gone=True)
         width = self._mean_row_bytes(rows)
         vs = self.base_versions(markers)
         size = sum(self.fs.size(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}") for b, v in self._manifest(vs[-1]).items()) if vs else self.fs.size(self.log_dir)
@@ -547,6 +690,8 @@ class KeyedTable:
                   f"LOCATION '{self.fs.qualify(self.base_dir)}/_none'")
         places = []
         for b, v in sorted(self._manifest(self.base_versions()[-1]).items()):
+            if b < 0:  # tombstones
+                continue
             places += self._leaves(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}", {BUCKET: str(b)}, list(self.spec.partition_by))
         for i in range(0, len(places), 200):
             clauses = " ".join("PARTITION (" + ", ".join(f"`{k}`=" + ("null" if x is None else "'" + x.replace("'", "\\'") + "'") for k, x in values.items())

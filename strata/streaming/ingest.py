@@ -23,6 +23,8 @@ from strata.plans.gold import run_gold
 from strata.sources.fs import Fs
 from strata.sources.raw import CORRUPT, FORMATS
 from strata.sources.table import KeyedTable
+from strata.spec import COMMIT, DELETED
+from strata.streaming import drift
 
 
 def raw_stream(spark: SparkSession, landing: str, schema: StructType, fmt: str = "json") -> DataFrame:
@@ -45,19 +47,26 @@ def _run_available(stream: DataFrame, fn: Callable[[DataFrame, int], None], chec
         raise RuntimeError(str(q.exception()))
 
 
-def run_silver(spark: SparkSession, landing: str, table: KeyedTable, schema: StructType, checkpoint: str,
+def run_silver(spark: SparkSession, landing: str, table: KeyedTable, schema: StructType | None, checkpoint: str,
                fmt: str = "json", method: str = "upsert", sql_transformer: str | None = None,
-               quarantine: str | None = None) -> list[int]:
+               quarantine: str | None = None, max_fields: int = drift.MAX_FIELDS) -> list[int]:
     """Ingest the files that are new since the last run into ``table``; returns the commits made.
 
+    ``schema`` None (JSON): the fields may change from run to run; types are inferred per batch and merged into
+    the table's schema, and what does not fit goes to the column ``_rescued`` (see ``strata.streaming.drift``).
+
     Lines that are not valid JSON go to ``<quarantine>/batch=<id>`` (JSON with the raw text as ``line``; default: the
     folder ``_quarantine`` of the table) instead of the table; none is dropped.
     """
     made: list[int] = []
     held_back = (quarantine or f"{table.root}/_quarantine").rstrip("/")
+    if schema is None and fmt != "json":
+        raise ValueError(f"{fmt} files need a schema")
 
     def batch_fn(df: DataFrame, batch_id: int) -> None:
         query = _stream_id(table.fs, checkpoint)
+        if schema is None:
+            df = drift.conform(df, _drifted(df, table, max_fields)).withColumnRenamed("_line", CORRUPT)
         has_corrupt = CORRUPT in df.columns
         good = df
         if has_corrupt:
@@ -77,10 +86,22 @@ def run_silver(spark: SparkSession, landing: str, table: KeyedTable, schema: Str
         if n is not None:
             made.append(n)
 
-    _run_available(raw_stream(spark, landing, schema, fmt), batch_fn, checkpoint)
+    stream = raw_stream(spark, landing, schema, fmt) if schema is not None else (
+        spark.readStream.option("recursiveFileLookup", "true").text(landing))
+    _run_available(stream, batch_fn, checkpoint)
     return made
 
 
+def _drifted(lines: DataFrame, table: KeyedTable, max_fields: int) -> StructType:
+    """The table's fields and the new ones of this batch; key, time and partition columns always exist."""
+    spec = table.spec
+    stored = [f for f in (table.schema() or StructType()).fields if f.name not in (COMMIT, DELETED, drift.RESCUED)]
+    fields = list(drift.infer(lines, StructType(stored), max_fields).fields)
+    names = {f.name for f in fields}
+    needed = [*spec.keys, *([spec.precombine] if spec.precombine else []), *spec.partition_by]
+    return StructType(fields + [StructField(c, StringType(), True) for c in dict.fromkeys(needed) if c not in names])
+
+
 def _stream_id(fs: Fs, checkpoint: str) -> str:
     """The id Spark gave this stream; a fresh checkpoint at the same path has another one."""
     return json.loads(fs.read_text(f"{checkpoint.rstrip('/')}/metadata"))["id"]
