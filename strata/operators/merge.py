@@ -94,19 +94,20 @@ def semi_join_keys(df: DataFrame, batch: DataFrame, keys, how: str) -> DataFrame
 
 
 def upsert(base: DataFrame | None, batch: DataFrame, keys, precombine: str | None = None,
-           ordering: str = "arrival", unique: bool = True) -> DataFrame:
+           ordering: str = "arrival", unique: bool = True, settled: bool = False) -> DataFrame:
     """Keyed upsert: a key present in the batch is replaced, other stored rows are kept.
 
     arrival     the batch (after precombine) wins over stored rows
     event_time  the greatest precombine value wins, stored rows included (late rows lose)
 
     ``unique``: every stored key has one row.  Otherwise (rows were appended without looking at
-    keys) an event-time upsert leaves one row of each key that it brings.
+    keys) an event-time upsert leaves one row of each key that it brings.  ``settled``: the batch
+    has one row per key already.
     """
     keys = key_list(keys)
     if ordering not in ("arrival", "event_time"):
         raise ValueError(f"unknown ordering {ordering!r}")
-    winners = latest_per_key(batch, keys, snapshot_order(batch, keys, precombine, ordering))
+    winners = batch if settled else latest_per_key(batch, keys, snapshot_order(batch, keys, precombine, ordering))
     if base is None:
         return winners
     if ordering == "arrival":
@@ -181,13 +182,13 @@ def tombstones(batch: DataFrame, keys, time: str | None = None) -> DataFrame:
 
 
 def apply_write(base: DataFrame | None, batch: DataFrame, method: str, keys, precombine_col=None,
-                ordering: str = "arrival", partition_by=(), unique: bool = True) -> DataFrame:
+                ordering: str = "arrival", partition_by=(), unique: bool = True, settled: bool = False) -> DataFrame:
     """The write-operation switch: the new current rows after ``method``."""
     method = (method or "upsert").lower()
     if method not in METHODS:
         raise ValueError(f"unknown write method {method!r}; expected one of {METHODS}")
     if method == "upsert":
-        return upsert(base, batch, keys, precombine_col, ordering, unique)
+        return upsert(base, batch, keys, precombine_col, ordering, unique, settled)
     if method in ("insert", "bulk_insert"):
         return bulk_insert(base, batch)
     if method == "insert_if_absent":

@@ -46,7 +46,7 @@ from pyspark.sql.types import BooleanType, DataType, LongType, StructField, Stru
 
 from strata.operators import merge, versions
 from strata.sources.fs import Fs
-from strata.spec import CLUSTER_TARGET_BYTES, COMMIT, DELETED, METHODS, TableSpec
+from strata.spec import CLUSTER_SMALL_BYTES, CLUSTER_TARGET_BYTES, COMMIT, DELETED, METHODS, TableSpec
 
 BUCKET = "_bucket"
 VERSION = "_v"
@@ -55,6 +55,8 @@ _WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float
 # lossless casts accepted on write: stored type <- incoming types
 _WIDENS = {"smallint": ("tinyint",), "int": ("tinyint", "smallint"), "bigint": ("tinyint", "smallint", "int"),
            "double": ("float", "int", "smallint", "tinyint"), "timestamp_ntz": ("date",), "string": ("void",)}
+# types whose exact bounds stand in parquet footers, as Spark's aggregate push-down takes them
+_FOOTER_BOUNDS = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date")
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
@@ -473,21 +475,22 @@ class KeyedTable:
         if not cached:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            count, width = batch.agg(F.count(F.lit(1)), F.avg(_row_bytes(batch))).first()
+            # one pass fills the cache and tells size, width and the buckets of the keys (at most ``buckets``)
+            count, width, touched = batch.agg(F.count(F.lit(1)), F.avg(_row_bytes(batch)), F.collect_set(self._bucket())).first()
             if not count:
                 return None
-            self._commit_rows(batch, method, n, tag, markers, float(width))
+            self._commit_rows(batch, method, n, tag, markers, float(width), set(touched))
         finally:
             if not cached:
                 batch.unpersist()
             if doomed is not None:
                 doomed.unpersist()
         self._tidy()
-        if spec.catalog_table:
+        if spec.catalog_table and self.base_versions():
             self.register()
         return n
 
-    def _commit_rows(self, batch: DataFrame, method: str, n: int, tag: str | None, markers: dict, row_bytes: float) -> None:
+    def _commit_rows(self, batch: DataFrame, method: str, n: int, tag: str | None, markers: dict, row_bytes: float, touched: set) -> None:
         spec = self.spec
         self._save_spec()
         stamped = batch.withColumn(COMMIT, F.lit(n).cast("bigint"))
@@ -505,18 +508,18 @@ class KeyedTable:
         self._save_schema(stamped.schema)
         self._write_rows(rows.drop(COMMIT), f"{self.log_dir}/commit={n}", list(spec.partition_by), row_bytes)
         if spec.table_type == "cow" or (self._timed and stored not in ("upsert", "delete")):
-            self._fold_commit(rows, stored, n, markers, row_bytes)
+            # read back what was written: one row per key already, no second shuffle of the batch
+            rows = self._read(self.log_dir, [f"{self.log_dir}/commit={n}"])
+            self._fold_commit(rows, stored, n, markers, row_bytes, touched)
         self._mark(n, method, tag)
 
-    def _fold_commit(self, rows: DataFrame, method: str, n: int, markers: dict, row_bytes: float) -> None:
+    def _fold_commit(self, rows: DataFrame, method: str, n: int, markers: dict, row_bytes: float, touched: set) -> None:
         """Base n: the buckets of this commit's keys are folded, the others stay where they are."""
-        spec = self.spec
         vs = self.base_versions(markers)
         current_base = bool(vs) and not self.log_methods(since=vs[-1], markers=markers)
         if not markers:
             folded, held = rows, {}
         elif current_base and method != "insert_overwrite":
-            touched = {r[0] for r in rows.select(self._bucket().alias("b")).distinct().collect()}  # at most ``buckets``
             manifest = self._manifest(vs[-1])
             held = {b: v for b, v in manifest.items() if _home(b) not in touched}
             base = self.base(vs[-1], touched, markers, gone=self._timed) if touched & {_home(b) for b in manifest} else None
@@ -531,7 +534,7 @@ class KeyedTable:
         if self._timed and method == "delete":
             method = "upsert"  # tombstones compete by their time
         return merge.apply_write(base, rows, method, spec.merge_keys, spec.precombine, spec.ordering, spec.partition_by,
-                                 unique=not self._holds_duplicates())
+                                 unique=not self._holds_duplicates(), settled=True)
 
     def _mark(self, n: int, method: str, tag: str | None) -> None:
         stamp = datetime.now(timezone.utc).isoformat()
@@ -603,8 +606,16 @@ class KeyedTable:
     def _mean_row_bytes(self, rows: DataFrame) -> float:
         return float(rows.agg(F.avg(_row_bytes(rows))).first()[0] or 1.0)
 
+    def _tail_extent(self, tail: DataFrame) -> tuple[set[int], float]:
+        """Buckets that a log tail touches (at most ``buckets``) and its mean row width."""
+        touched, width = tail.agg(F.collect_set(self._bucket()), F.avg(_row_bytes(tail))).first()
+        return set(touched), float(width or 1.0)
+
     def compact(self) -> int | None:
-        """Fold the log into a base at the last commit (merge-on-read -> copy-on-write view)."""
+        """Fold the log into a base at the last commit (merge-on-read -> copy-on-write view).
+
+        Only buckets that the log tail touches are read and written anew; the manifest keeps
+        pointing at the old directories of the others."""
         markers = self._markers()
         if not markers:
             return None
@@ -612,31 +623,65 @@ class KeyedTable:
         vs = self.base_versions(markers)
         if vs and vs[-1] == last:
             return last
-        rows = self._state(markers, gone=True)
-        self._write_base(rows, last, self._mean_row_bytes(rows))
+        since = vs[-1] if vs else None
+        methods = self.log_methods(since=since, markers=markers)
+        if vs and not methods:
+            return vs[-1]
+        tail = self.log(since=since, markers=markers)
+        touched, width = self._tail_extent(tail)
+        if not vs or "insert_overwrite" in methods.values():  # an overwritten partition lies in every bucket
+            self._write_base(self._state(markers, gone=True), last, width)
+            return last
+        manifest = self._manifest(since)
+        held = {b: v for b, v in manifest.items() if _home(b) not in touched}
+        base = self.base(since, touched, markers, gone=self._timed) if len(held) < len(manifest) else None
+        self._write_base(self._folded(base, tail, methods), last, width, held)
         return last
 
-    def cluster(self, columns=None, target_bytes: int | None = None) -> int | None:
-        """Rewrite the current rows range-partitioned and sorted by ``columns`` (within bucket and
-        partition) as a new commit that adds nothing to the log, so readers see no old rows again."""
+    def cluster(self, columns=None, target_bytes: int | None = None, small_bytes: int | None = None) -> int | None:
+        """Rewrite rows range-partitioned and sorted by ``columns`` (within bucket and partition) as a new
+        commit that adds nothing to the log, so readers see no old rows again.
+
+        Incremental: a bucket is finished when an earlier call wrote it with the same columns and nothing was
+        folded into it since, or when it holds one file at least, none below ``small_bytes``; finished buckets keep
+        their files.  Returns None when all are finished."""
         cols = list(columns or self.spec.cluster_by)
         if not cols:
             raise ValueError("clustering needs columns")
         markers = self._markers()
         if not markers:
             return None
-        rows = self._state(markers, gone=True)
-        width = self._mean_row_bytes(rows)
+        self.compact()  # a log tail is folded first, bucket by bucket
         vs = self.base_versions(markers)
-        size = sum(self.fs.size(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}") for b, v in self._manifest(vs[-1]).items()) if vs else self.fs.size(self.log_dir)
+        manifest = self._manifest(vs[-1])
+        sorted_by = {int(name): json.loads(self.fs.read_text(f"{self.meta}/clusters/{name}")) for name, *_ in self.fs.children(f"{self.meta}/clusters")
+                     if name.isdigit()}
+        limit = CLUSTER_SMALL_BYTES if small_bytes is None else small_bytes
+        sizes = {b: [length for _, length in self._files(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}")] for b, v in manifest.items()}
+        open_ = {b for b, v in manifest.items() if b >= 0 and sorted_by.get(v) != cols and min(sizes[b], default=limit) < limit}
+        if not open_:
+            return None
+        rows = self.base(vs[-1], open_, markers, gone=self._timed)
         n = max(markers) + 1
-        n_files = max(1, math.ceil(size / (target_bytes or CLUSTER_TARGET_BYTES)))
+        n_files = max(1, math.ceil(sum(sum(sizes[b]) for b in open_) / (target_bytes or CLUSTER_TARGET_BYTES)))
         ranged = rows.repartitionByRange(n_files, self._bucket(), *[F.col(c) for c in [*self.spec.partition_by, *cols]])
-        self._write_base(ranged, n, width, sort_by=cols)
+        held = {b: v for b, v in manifest.items() if _home(b) not in open_}
+        self._write_base(ranged, n, self._mean_row_bytes(rows), held, sort_by=cols)
+        self.fs.write_text(f"{self.meta}/clusters/{n}", json.dumps(cols))
         self._mark(n, "cluster", None)
         self._tidy()
         return n
 
+    def _files(self, path: str) -> list[tuple[str, int]]:
+        """Data files below a directory with their sizes."""
+        out = []
+        for name, is_dir, length, _ in self.fs.children(path):
+            if is_dir:
+                out += self._files(f"{path}/{name}")
+            elif not name.startswith(("_", ".")):
+                out.append((f"{path}/{name}", length))
+        return out
+
     def expire_log(self, upto: int) -> None:
         """Remove log commits and markers <= ``upto`` that a base already covers.  Readers behind
         ``upto`` must restart from the snapshot."""
@@ -653,27 +698,55 @@ class KeyedTable:
                     self.fs.delete(f"{self.meta}/commits/{c}.{method}.{seen}")
 
     def column_stats(self, columns=None) -> DataFrame:
-        """Per data file of the current rows and column: ``num_rows, min, max, nulls`` (as text).
+        """Per data directory (bucket and partition) of the current rows and column: ``num_rows, min, max,
+        nulls`` (as text).  Without a base the log's directories are described.
 
-        Only the asked columns are read (default: keys, precombine and clustering columns).
-        Without a base the log's files are described."""
+        Counts, and the bounds of numbers, dates and flags, come from the parquet footers: Spark's aggregate
+        push-down of the V2 source, so no data page is read.  The bounds of texts and timestamps
+        are not kept in footers exactly; those columns are read.  Columns default to keys, precombine and clustering columns."""
         spec = self.spec
         cols = list(columns or dict.fromkeys([*spec.keys, *([spec.precombine] if spec.precombine else []), *spec.cluster_by]))
-        base = self.base()
-        rows = (base if base is not None else self.log()).select(*cols, F.col("_metadata.file_path").alias("file_path"))
-        stats = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("num_rows"), *[
-            F.struct(F.lit(c).alias("column"), F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max"),
-                     F.count(F.when(F.col(c).isNull(), 1)).alias("nulls")).alias(f"_{i}") for i, c in enumerate(cols)])
-        return stats.select("file_path", "num_rows", F.explode(F.array(*[f"_{i}" for i in range(len(cols))])).alias("s")).select("file_path", "num_rows", "s.*")
+        vs = self.base_versions()
+        if vs:
+            root, parts = self.base_dir, [VERSION, BUCKET, *spec.partition_by]
+            dirs = [f"{root}/{VERSION}={v}/{BUCKET}={b}" for b, v in sorted(self._manifest(vs[-1]).items()) if b >= 0]
+        else:
+            root, parts = self.log_dir, [COMMIT, *spec.partition_by]
+            dirs = [f"{root}/commit={c}" for c in self.log_methods()]
+        if not dirs:
+            return self.spark.createDataFrame([], "directory string, num_rows long, column string, min string, max string, nulls long")
+        own = self.spark.newSession()  # its own settings: other reads of the caller's session stay as they are
+        own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+        own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        types = {f.name: f.dataType.simpleString() for f in self.schema().fields}
+        schema = StructType([f for f in self.schema().fields if f.name not in parts or f.name in cols])
+        rows = own.read.schema(schema).option("basePath", root).parquet(*dirs)
+        held = [p for p in parts if p in rows.columns]
+        where = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.coalesce(F.col(p).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))) for p in held])
+        footer = [c for c in cols if types[c] in _FOOTER_BOUNDS and c not in parts]
+        out = None
+        for group in (footer, [c for c in cols if c not in footer]):
+            if not group:
+                continue
+            stats = rows.groupBy(*held).agg(F.count(F.lit(1)).alias("num_rows"), *[
+                f(c).alias(f"{n}{i}") for i, c in enumerate(group) for f, n in ((F.min, "_min"), (F.max, "_max"), (F.count, "_known"))])
+            each = F.explode(F.array(*[
+                F.struct(F.lit(c).alias("column"), F.col(f"_min{i}").cast("string").alias("min"), F.col(f"_max{i}").cast("string").alias("max"),
+                         (F.col("num_rows") - F.col(f"_known{i}")).alias("nulls")) for i, c in enumerate(group)]))
+            part = stats.select(where.alias("directory"), "num_rows", each.alias("s")).select("directory", "num_rows", "s.*")
+            out = part if out is None else out.unionByName(part)
+        return out
 
     def register(self, name: str | None = None) -> str:
-        """Catalog table over the latest base (``database.table``), made anew each time so that
-        moved rows, vacated partitions and new columns show at once.
+        """Catalog table over the newest base (``database.table``); its partitions are the table's
+        directories, at their own locations: the bucket (an extra column) and the partition columns.
 
-        Its partitions are the table's directories, at their own locations: the bucket (an extra
-        column) and the partition columns."""
+        A table that exists is altered, never dropped: new columns are added, then partitions are added, moved to
+        their new directory or (if they are vacated) removed.  A merge-on-read table shows the state
+        of its last compaction; without a base this call makes one."""
         name = name or self.spec.catalog_table or self.spec.name
-        self.compact()
+        if not self.base_versions():
+            self.compact()
         spark = self.spark
         if "." in name:
             db = name.split(".")[0]
@@ -683,20 +756,44 @@ class KeyedTable:
                 spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{db_path}'")
         parts = [BUCKET, *self.spec.partition_by]
         fields = [f for f in self.schema().fields if f.name != DELETED]
-        ordered = [f for f in fields if f.name not in parts] + [StructField(BUCKET, LongType())] + [f for p in parts for f in fields if f.name == p]
-        columns = ", ".join(f"`{f.name}` {'int' if f.name == BUCKET else f.dataType.simpleString()}" for f in ordered)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)}) "
-                  f"LOCATION '{self.fs.qualify(self.base_dir)}/_none'")
-        places = []
+        rows = [f for f in fields if f.name not in parts]
+        home = f"{self.fs.qualify(self.base_dir)}/_none"
+        column = lambda f: f"`{f.name}` {'int' if f.name == BUCKET else f.dataType.simpleString()}"
+        if not spark.catalog.tableExists(name):
+            ordered = rows + [StructField(BUCKET, LongType())] + [f for p in parts for f in fields if f.name == p]
+            spark.sql(f"CREATE TABLE {name} ({', '.join(map(column, ordered))}) USING parquet "
+                      f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)}) LOCATION '{home}'")
+        else:
+            place = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}.get("Location", "")
+            if place.rstrip("/") != home:
+                raise ValueError(f"catalog table {name!r} belongs to another table at {place}")
+            known = set(spark.table(name).columns)
+            fresh = [f for f in rows if f.name not in known]
+            if fresh:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(map(column, fresh))})")
+        wanted: dict[str, str] = {}
         for b, v in sorted(self._manifest(self.base_versions()[-1]).items()):
             if b < 0:  # tombstones
                 continue
-            places += self._leaves(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}", {BUCKET: str(b)}, list(self.spec.partition_by))
-        for i in range(0, len(places), 200):
-            clauses = " ".join("PARTITION (" + ", ".join(f"`{k}`=" + ("null" if x is None else "'" + x.replace("'", "\\'") + "'") for k, x in values.items())
-                               + f") LOCATION '{self.fs.qualify(path)}'" for path, values in places[i:i + 200])
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {clauses}")
+            for path, values in self._leaves(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}", {BUCKET: str(b)}, list(self.spec.partition_by)):
+                clause = ", ".join(f"`{k}`=" + ("null" if x is None else "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'") for k, x in values.items())
+                wanted[clause] = self.fs.qualify(path)
+        # what the catalog holds: the clauses and places of the last registration under this name
+        noted = f"{self.meta}/catalog/{_digest(name)}"
+        text = self.fs.read_text(noted)
+        held = json.loads(text) if text else {}
+        if held and spark.sql(f"SHOW PARTITIONS {name}").isEmpty():
+            held = {}  # made anew outside
+        added = [c for c in wanted if c not in held]
+        for i in range(0, len(added), 200):
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({c}) LOCATION '{wanted[c]}'" for c in added[i:i + 200]))
+        for c in wanted:
+            if c in held and held[c] != wanted[c]:
+                spark.sql(f"ALTER TABLE {name} PARTITION ({c}) SET LOCATION '{wanted[c]}'")
+        vacated = [c for c in held if c not in wanted]
+        for i in range(0, len(vacated), 200):
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({c})" for c in vacated[i:i + 200]))
+        self.fs.write_text(noted, json.dumps(wanted))
         spark.catalog.refreshTable(name)
         return name
 

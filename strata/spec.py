@@ -18,6 +18,7 @@ METHODS = ("upsert", "insert", "bulk_insert", "insert_if_absent", "insert_overwr
 MAX_FILE_BYTES = 512 * 1024 * 1024
 SMALL_FILE_BYTES = 104857600
 CLUSTER_TARGET_BYTES = 1073741824
+CLUSTER_SMALL_BYTES = 600 * 1024 * 1024
 KEEP_VERSIONS = 3
 
 
