@@ -37,6 +37,24 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(doc_id: Column, sha: Column) -> Column:
+    """One never-null text for an id and the hash of a text."""
+    return F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("-")), F.lit(":"), sha)
+
+
+def text_sha(text: Column) -> Column:
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)
+
+
+def rows_with_key(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose (id, text) is one of ``keys`` (column ``key``, each once), one row per key.
+
+    The row travels as one struct, so its columns may have any names.  The join and the choice among
+    rows that repeat in id and text use the same key: the texts are shuffled once."""
+    packed = docs.select(F.struct("*").alias("row"), row_key(F.col("doc_id"), text_sha(F.col("text"))).alias("key"))
+    return packed.join(keys.select("key"), "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import load, scratch_table, shuffle_width
+from strata.llm.common import load, row_key, rows_with_key, scratch_table, shuffle_width
 
 _RUNS = "row_id long, pid int, run long, last boolean, edge boolean, run_id long, run_size long, sha string, edge_text string"
 
@@ -121,14 +121,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_rows(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """The documents that stay, all columns.
 
-    Rows are chosen by (id, text hash), so the texts are not shuffled a second time when the
-    kept list is small; a row whose id and text both repeat is returned once.
+    Rows are chosen by (id, text hash); a row whose id and text both repeat is returned once.  Columns may have
+    any names.
     """
-    out = exact_dedup(docs, keep=keep).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    here = docs.withColumn("_sha", F.sha2(text, 256)).withColumn("_id", F.col("doc_id").cast("long"))
-    return (here.join(out.withColumn("_k", F.lit(1)), here._id.eqNullSafe(out._id) & (here._sha == out._sha), "left_semi")
-            .dropDuplicates(["_id", "_sha"]).drop("_sha", "_id"))
+    kept = exact_dedup(docs, keep=keep).where("kept")
+    return rows_with_key(docs, kept.select(row_key(F.col("doc_id"), F.col("text_sha256")).alias("key")))
 
 
 ORACLE_SQL = """

@@ -112,22 +112,32 @@ def take(docs: DataFrame, **options) -> DataFrame:
     order = ["key", "doc_id", "size"]
     after = F.when(F.col("cut") > 0, F.struct(*order, "cut"))
     cuts = scratch_table(mix(docs, **options).groupBy("source").agg(F.max("epochs").alias("_epochs"), F.max(after).alias("_at")), "mix-cuts")
-    cuts = cuts.withColumnRenamed("source", "_source")
+    cuts = cuts.select(F.col("source").alias("_source"), "_epochs", "_at")
     seed = options.get("seed", SEED)
+    # the document travels as one struct beside the working columns: its own columns may have any names
     text = F.col("text").cast("string")
     mine = F.struct(_key(F.col("doc_id"), seed).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), word_count(text).alias("size"))
-    rows = docs.withColumn("_mine", mine).join(cuts, F.col("source").cast("string").eqNullSafe(F.col("_source")))
+    rows = docs.select(F.struct("*").alias("_row"), mine.alias("_mine"), F.col("source").cast("string").alias("_of"))
+    rows = rows.join(cuts, F.col("_of").eqNullSafe(F.col("_source")))
     at = F.struct(*[F.col(f"_at.{c}").alias(c) for c in order])
     extra = F.when(F.col("_at").isNull() | (F.col("_mine") > at), F.lit(0)).when(F.col("_mine") < at, F.col("_mine.size")).otherwise(F.col("_at.cut"))
     copies = F.concat(F.array_repeat(F.col("_mine.size"), F.col("_epochs").cast("int")), F.filter(F.array(extra.cast("long")), lambda c: c > 0))
     out = rows.where(F.col("_mine.size") > 0).withColumn("_take", F.explode(copies))
     part = F.col("_take") < F.col("_mine.size")
     # the end of the word number _take: the pattern is built from a bounded number per row
-    first = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"([\\x20\\x09-\\x0D]*{WORD})"), 1), 1, F.col("_take").cast("int")), "")
-    out = out.withColumn("text", F.when(part, first).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(part, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    whole = F.col("_row.text").cast("string")
+    first = F.array_join(F.slice(F.regexp_extract_all(whole, F.lit(f"([\\x20\\x09-\\x0D]*{WORD})"), 1), 1, F.col("_take").cast("int")), "")
+    out = out.withColumn("_text", F.when(part, first).otherwise(whole))
+
+    def field(f):
+        if f.name == "text":
+            return F.col("_text").alias("text")
+        column = F.col("_row").getField(f.name)
+        if f.name == "n_chars":
+            column = F.when(part, F.char_length("_text").cast(f.dataType)).otherwise(column)
+        return column.alias(f.name)
+
+    return out.select(*[field(f) for f in docs.schema.fields])
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ an empty result.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -38,15 +39,21 @@ SMOOTHING = 0.5
 # fixed values: the base rules
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# the same matches in linear time: from each "@" outwards, and from the start of a run of digits only
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGIT = re.compile("[0-9]")
 # token runs that may be an identifier in another spelling
-_AT = re.compile(r"[\w.%+-]+ ?(?:\[at\]|\(at\)|\{at\}|@| at ) ?[\w-]+(?:(?: ?(?:\[dot\]|\(dot\)|\.) ?| dot )[\w-]+)+", re.IGNORECASE)
+_AT_TAIL = r"[\w.%+-]++ ?(?:\[at\]|\(at\)|\{at\}|@| at ) ?[\w-]++(?:(?: ?(?:\[dot\]|\(dot\)|\.) ?| dot )[\w-]++)++"
+_AT = re.compile(_AT_TAIL, re.IGNORECASE)
+_AT_FRESH = re.compile(r"(?<![\w.%+-])" + _AT_TAIL, re.IGNORECASE)  # starts at the start of a run
 _SIGNS = ("@", " at ", "[at]", "(at)", "{at}")  # _AT matches no text without one of them
 _NUMBER = re.compile(r"\(?[0-9](?:[ ().-]{0,2}[0-9]){5,}")
-_CONTEXT = 60
+_CONTEXT = 60  # a neighbouring word counts with its part within so many characters of the mention
 
 _SPAN = "array<struct<kind:int,start:int,stop:int>>"
 _FOUND = f"doc_id long, base {_SPAN}, base_sha256 string, mentions array<struct<kind:int,start:int,stop:int,instance:string,seed:boolean,patterns:array<string>>>"
@@ -62,15 +69,44 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> list[tuple[int, int]]:
+    """Spans of ``EMAIL.finditer``: each "@" with the run before it (not before the last match) and its domain."""
+    out, end, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > end and text[start - 1] in _LOCAL:
+            start -= 1
+        m = _DOMAIN.match(text, at) if start < at else None
+        if m:
+            out.append((start, m.end()))
+            end = m.end()
+        else:
+            end = max(end, at + 1) if start == at else end
+        at = text.find("@", max(at + 1, end))
+    return out
+
+
+def _spelled_out(text: str) -> Iterator[re.Match]:
+    """Matches of ``_AT.finditer`` without trying every place of a long run: a match starts a run, or
+    goes on right after the last match."""
+    end = 0
+    while True:
+        m = (_AT.match(text, end) if end else None) or _AT_FRESH.search(text, end)
+        if m is None:
+            return
+        yield m
+        end = m.end()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(kind, start, end)`` in kind and text order: leftmost matches of each rule, tested once."""
     found = []
     if "@" in text:
-        found += [(0, m.start(), m.end()) for m in EMAIL.finditer(text)]
+        found += [(0, a, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         # long digit runs may exceed int(): compare by length first
         small = lambda part: len(p := part.lstrip("0")) < 3 or (len(p) == 3 and int(p) <= 255)
-        found += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(map(small, m[0].split(".")))]
+        found += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(map(small, m[0].split(".")))]
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 16 <= len(digits) <= 19 and luhn(digits):
@@ -114,19 +150,54 @@ def patterns_of(text: str, start: int, stop: int) -> list[str]:
     return out
 
 
+def _free(taken: list[list[int]], start: int, stop: int) -> list[tuple[int, int]]:
+    """The parts of [start, stop) outside the disjoint, sorted intervals."""
+    out, at = [], bisect.bisect_right(taken, [start, start])
+    at -= at > 0 and taken[at - 1][1] > start
+    while at < len(taken) and taken[at][0] < stop:
+        if taken[at][0] > start:
+            out.append((start, taken[at][0]))
+        start, at = max(start, taken[at][1]), at + 1
+    return [*out, (start, stop)] if start < stop else out
+
+
+def _numbers(text: str, start: int, stop: int) -> list[tuple[int, int, int]]:
+    """``(kind, start, stop)`` of a run, or of its parts between spaces if it is too long for one number."""
+    kind = _shape(text[start:stop])
+    if kind is not None:
+        return [(kind, start, stop)]
+    if " " not in text[start:stop]:
+        return []
+    out = []
+    for part in re.finditer(r"[^ ]+", text[start:stop]):
+        m = _NUMBER.search(part[0])
+        kind = _shape(m[0]) if m else None
+        if kind is not None:
+            out.append((kind, start + part.start() + m.start(), start + part.start() + m.end()))
+    return out
+
+
 def mentions_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
     found = [(k, a, b, True) for k, a, b in base]
-    taken = sorted((a, b) for _, a, b in base)
+    taken: list[list[int]] = []  # the base spans as disjoint intervals
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
     low = text.lower()
-    runs = []
     if any(sign in low for sign in _SIGNS):
-        runs += _AT.finditer(text)
+        for m in _spelled_out(text):
+            kind = _shape(m[0])
+            if kind is not None and len(_free(taken, m.start(), m.end())) == 1 and _free(taken, m.start(), m.end())[0] == (m.start(), m.end()):
+                found.append((kind, m.start(), m.end(), False))
     if _DIGIT.search(text):
-        runs += _NUMBER.finditer(text)
-    for m in runs:
-        kind = _shape(m[0])
-        if kind is not None and not any(a < m.end() and m.start() < b for a, b in taken):
-            found.append((kind, m.start(), m.end(), False))
+        for m in _NUMBER.finditer(text):
+            # the parts outside base spans; a run of several numbers falls apart at its spaces
+            for a, b in _free(taken, m.start(), m.end()):
+                whole = (a, b) == m.span()
+                for n in ([m] if whole else _NUMBER.finditer(text, a, b)):
+                    found += [(k, i, j, False) for k, i, j in _numbers(text, n.start(), n.end())]
     return [(k, a, b, text[a:b].lower(), seed, patterns_of(text, a, b)) for k, a, b, seed in found]
 
 

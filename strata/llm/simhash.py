@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import gather, load, scratch_table, shuffle_width, slices, words_of
+from strata.llm.common import gather, load, row_key, rows_with_key, scratch_table, shuffle_width, slices, text_sha, words_of
 from strata.llm.components import connected_components
 
 SHINGLE = 3
@@ -67,16 +67,18 @@ def fingerprints_of(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarr
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", keep: Column | None = None) -> DataFrame:
+    """``doc_id, fp`` (the 64 bits as a signed long), and ``keep`` as ``key`` if given."""
+    extra = [] if keep is None else [keep.alias("key")]
+    kept = ["doc_id", "key"][:1 + len(extra)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4_000_000):
             fps = fingerprints_of(batch.column("text").to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(fps.view(np.int64))], names=[*kept, "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra).mapInArrow(
+        run, "doc_id long, key string, fp long" if extra else "doc_id long, fp long")
 
 
 # ------------------------------------------------------------------------------------- index
@@ -222,25 +224,32 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, partitions: int |
     return rows.repartition(n, "bucket").mapInArrow(_links(max_bits), "u long, v long")
 
 
+def grouped(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, least_id, root``: every distinct fingerprint with its least document and its group."""
+    distinct = scratch_table(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fp")
+    roots = connected_components(near_links(distinct.select("fp"), max_bits))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+
+
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp, component_id`` for every document."""
     fps = scratch_table(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    distinct = scratch_table(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fp")
-    roots = connected_components(near_links(distinct.select("fp"), max_bits))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    rooted = grouped(fps, max_bits)
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = scratch_table(rooted.join(least, "root").select("fp", "component_id"), "components")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_rows(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group, the one with the smallest id; all columns.
-
-    Rows that share an id stay or go together.
-    """
-    kept = near_groups(docs, shingle, max_bits).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    """One document of each group, the one with the smallest id (null last; equal ids: the least text hash); all
+    columns, which may have any names.  Rows that repeat in id and text are one document."""
+    sha = text_sha(F.col("text"))
+    fps = scratch_table(fingerprints(docs, shingle, keep=row_key(F.col("doc_id"), sha)), "fingerprints")
+    groups = grouped(fps, max_bits)
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")
+    kept = fps.join(groups, "fp").groupBy("root").agg(F.min(first).alias("first"))
+    return rows_with_key(docs, kept.select("first.key"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,6 +84,11 @@ def _window_hashes(words: list[list[bytes]], window: int, known: WordHashes) ->
     return h[inside], doc[inside], position[inside]
 
 
+def _run_key(windows: np.ndarray, ids: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Key of a placed run: the sum of its window hashes, scattered by document and place."""
+    return windows.view(np.int64) ^ (ids * 0x2545F4914F6CDD1D + span)
+
+
 def _open_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -103,9 +108,11 @@ def _open_windows(window: int):
             runs = np.diff(np.r_[heads, len(here)])
             at = here[heads] if len(here) else here
             span = position[at] * (1 << 32) + runs
+            # the key of a run says which windows it stands for: rows that share an id tell theirs apart by it
+            windows = np.add.reduceat(h[here], heads) if len(here) else h[here]
             left = np.sort(order[first])
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.r_[h[left].view(np.int64), h[at].view(np.int64) ^ (ids[doc[at]] * 0x2545F4914F6CDD1D + span)]),
+                pa.array(np.r_[h[left].view(np.int64), _run_key(windows, ids[doc[at]], span)]),
                 pa.array(np.r_[ids[doc[left]], ids[doc[at]]]),
                 pa.array(np.r_[np.zeros(len(left), np.int64), span]),
             ], names=["h", "doc_id", "span"])
@@ -121,7 +128,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = (rows.withColumn("least", F.min("doc_id").over(Window.partitionBy("h")))
              .where("span > 0 or least < doc_id"))
     return found.groupBy("doc_id").agg(
-        F.collect_list(F.when(F.col("span") > 0, F.col("span"))).alias("spans"),
+        F.collect_list(F.when(F.col("span") > 0, F.struct("span", "h"))).alias("spans"),
         F.collect_list(F.when(F.col("span") == 0, F.col("h"))).alias("hashes"))
 
 
@@ -134,11 +141,18 @@ def _cut(window: int, with_text: bool):
                 words = words_of(text)
                 gone = np.zeros(len(words) + 1, np.int64)
                 starts, ends = [], []
-                for span in spans or ():
-                    starts.append(span >> 32)
-                    ends.append((span >> 32) + (span & 0xFFFFFFFF) + window - 1)
-                if hashes:
+                if spans or hashes:
                     h, _, position = _window_hashes([words], window, known)
+                if spans:
+                    sums = np.r_[np.zeros(1, np.uint64), np.cumsum(h, dtype=np.uint64)]
+                    span = np.array([s["span"] for s in spans], np.int64)
+                    a, n = span >> 32, span & 0xFFFFFFFF
+                    here = a + n < len(sums)
+                    a, n, span, key = a[here], n[here], span[here], np.array([s["h"] for s in spans], np.int64)[here]
+                    mine = _run_key(sums[a + n] - sums[a], np.full(len(a), doc_id, np.int64), span) == key
+                    starts += a[mine].tolist()
+                    ends += (a[mine] + n[mine] + window - 1).tolist()
+                if hashes:
                     at = position[np.isin(h, np.array(hashes, np.int64).view(np.uint64))]
                     starts += at.tolist()
                     ends += (at + window).tolist()

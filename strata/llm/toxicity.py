@@ -42,7 +42,6 @@ PREFIXES = (4, 5, 6)
 CONFIDENCE = 2.58
 MIN_TOXIC = 8
 MIN_WEIGHT = 1.0
-MAX_FEATURES = 20_000
 
 # classes of the character model: 0 is the word end, 1 anything else, then the letters
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
@@ -58,7 +57,9 @@ SETTLE = 64
 SEPARATORS = " .-_*~'"
 _EDGES = ".,;:!?\"'()[]{}<>|*#%&$-_~/\\"
 # tokens may be of any length: no branch scans the same run again and again
-_ODD = re.compile(r"[^\W\d_][^\w\s]*+(?:(?<=[@$!|+*€£¡.\-~#(<])|[\d_][\d@$!|+*€£¡.\-_~#(<]*+)[^\W\d_]|(\w)\1\1|^[\d@$!|+(<€£¡]++[^\W\d_]{2}|[^\W\d_]{2}[\d@$!|+€£¡]++$")
+_ODD = re.compile(r"[^\W\d_][^\w\s]*+(?:(?<=[@$!|+*€£¡.\-~#(<])|[\d_][\d@$!|+*€£¡.\-_~#(<]*+)[^\W\d_]|(\w)\1\1|^[\d@$!|+(<€£¡]++[^\W\d_]|[^\W\d_][\d@$!|+€£¡]++$"
+                  # signs and digits alone: three or more, a sign among them, not one repeated
+                  r"|^(?=.*[@$!|+€£¡])(?!(.)\2+$)[\d@$!|+(<€£¡]{3,}+$")
 _APART = re.compile(r"(?<!\S)(?:\S[ \t._\-]){2,}\S(?!\S)")
 
 
@@ -160,7 +161,7 @@ def apart(text: str, model: np.ndarray) -> list[str]:
     found = []
     for m in _APART.finditer(text):
         spelled = m[0]
-        if len(set(spelled)) > 3:
+        if len(set(spelled) - set(SEPARATORS + "\t")) >= 2:
             found += restore(spelled, model).split()
     return found
 
@@ -247,9 +248,8 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column | None = None, samp
     bad, good = total["bad"], total["good"]
     odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
     weight = odds - CONFIDENCE * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
-    # at most MAX_FEATURES rows of a model parameter
-    best = by_feature.where("feature != ''").withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT).orderBy(F.desc("w"), "feature").limit(MAX_FEATURES)
-    rows = best.collect()
+    # the model: features that MIN_TOXIC of the at most ``sample`` fitted rows hold
+    rows = by_feature.where("feature != ''").withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT).orderBy(F.desc("w"), "feature").collect()
     words = sorted((r["feature"][1:], r["bad"]) for r in rows if r["feature"][0] == "=")
 
     def one_word(prefix: str, n: int) -> bool:
@@ -285,6 +285,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Documents whose score is below ``threshold``; all columns.  Fitted on the rows that are not held out."""
+    """Documents whose score is below ``threshold``; all columns, which may have any names.  Fitted on the rows
+    that are not held out."""
     model = fit(docs, labels, ~held_out(F.col("doc_id"), 0))
-    return score(docs, model).where(F.col("toxicity") < threshold).select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    return score(packed, model).where(F.col("toxicity") < threshold).select("row.*")

@@ -1,7 +1,6 @@
 import math
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import topk_search
@@ -9,16 +8,11 @@ from tests.llm.helpers import SF
 
 
 def brute(rows, k=20):
-    best = {}
-    for i, v in rows:
-        if i is None or not v or any(c is None or not math.isfinite(c) for c in v):
-            continue
-        x = [math.floor(64 * c) for c in v]
-        best[i] = max(best.get(i, x), x)
+    best = [(i, [math.floor(64 * c) for c in v]) for i, v in rows if i is not None and v and all(c is not None and math.isfinite(c) for c in v)]
     out = []
-    for q, a in best.items():
+    for at, (q, a) in enumerate(best):
         if q % 20 == 0:
-            scored = sorted((-sum(s * t for s, t in zip(a, b)), i) for i, b in best.items() if i != q)[:k]
+            scored = sorted((-sum(s * t for s, t in zip(a, b)), i) for n, (i, b) in enumerate(best) if n != at)[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return sorted(out)
 
@@ -47,6 +41,8 @@ def test_odd_rows(spark, monkeypatch):
     assert topk_search.top_k(frame(spark, []), is_query).count() == 0
 
 
-def test_too_large(spark):
-    with pytest.raises(Exception, match="too large"):
-        topk_search.top_k(frame(spark, [(0, [1e9]), (1, [1.0])]), F.col("vec_id") == 0).collect()
+def test_large_components_are_scored_in_whole_numbers(spark):
+    rows = [(0, [float(2**21), 1.0]), (1, [1.0, 0.5]), (2, [float(2**21) - 0.25, 3.0]), (20, [-3.0, 2.0]), (3, [float(2**27), -1.0])]
+    assert sorted(map(tuple, topk_search.top_k(frame(spark, rows), F.col("vec_id") % 20 == 0).collect())) == brute(rows)
+    got = topk_search.top_k(frame(spark, [(0, [1e30]), (1, [1e30]), (2, [-1e30])]), F.col("vec_id") == 0).collect()
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 2**63 - 1), (2, -2**63)]
