@@ -10,8 +10,8 @@
     calibration  one temperature for all scores, by least log loss on rows kept out of the fit
 
 How the work is spread: the document counts are one map-side pass that sends at most 2**BITS small
-rows per task.  The classifier is fitted on a documented bounded sample: at most ``FIT_ROWS`` rows per
-language, the first by a hash of their id and text, cut to that number in every task before the shuffle.
+rows per task.  The classifier is fitted on a documented bounded sample: about ``FIT_ROWS`` rows per
+language, chosen by a hash of their id and text (copies of both count once).
 Their features (not their texts) reach the driver.  Scoring reads each text once, map side, with a model of
 at most 2**BITS places x languages.  Whole texts are used; a long text is taken in pieces of ``PIECE`` characters.
 
@@ -28,14 +28,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import load
 
 BITS = 17
 SIZES = (1, 2, 3)
-FIT_ROWS = 1500  # per language; one in CALIBRATE of them is kept for the temperature
+FIT_ROWS = 1000  # per language; one in CALIBRATE of them is kept for the temperature
 CALIBRATE = 5
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
@@ -193,23 +193,35 @@ def document_counts(train: DataFrame, bits: int) -> tuple[np.ndarray, int]:
     return df[:-1], int(df[-1])
 
 
-def fit_sample(train: DataFrame, bits: int, fit_rows: int) -> list:
-    """Features of at most ``fit_rows`` rows per language, in the order of their hash."""
+def fit_sample(train: DataFrame, shares: dict[str, int], bits: int, fit_rows: int) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
+    """``(lang, place, places, counts)`` of about ``fit_rows`` rows per language (all, if it has fewer), in the
+    order of their hash, languages taking turns.
+
+    A row is taken if its hash lies below its language's share, so nothing is ranked and no
+    language's rows meet in one task; rows with the same id and text count once."""
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(bits)
         for batch in batches:
-            for lang, place, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "place", "text"))):
+            for lang, h, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "text"))):
                 places, counts = grams.counts(text)
                 yield pa.RecordBatch.from_pydict(
-                    {"lang": [lang], "place": [place], "places": [places.astype(np.int32).tobytes()], "counts": [counts.astype(np.int32).tobytes()]},
-                    schema=pa.schema([("lang", pa.string()), ("place", pa.int32()), ("places", pa.binary()), ("counts", pa.binary())]))
-
-    order = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
-    ranked = (train.withColumn("_h", order).withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "text")))
-              .where(F.col("place") <= fit_rows))
-    rows = ranked.select("lang", "place", "text").mapInArrow(features, "lang string, place int, places binary, counts binary").collect()
-    return sorted(rows, key=lambda r: (r.place, r.lang))  # languages take turns
+                    {"lang": [lang], "h": [h], "places": [places.astype(np.int32).tobytes()], "counts": [counts.astype(np.int32).tobytes()]},
+                    schema=pa.schema([("lang", pa.string()), ("h", pa.int64()), ("places", pa.binary()), ("counts", pa.binary())]))
+
+    hashed = train.select("lang", "text", F.xxhash64(F.lit(12), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").alias("h"))
+    taken = F.lit(False)
+    for lang, n in shares.items():
+        share = F.lit(True) if n <= fit_rows else F.shiftrightunsigned("h", 11) < F.lit(int(fit_rows / n * 2**53))
+        taken = taken | ((F.col("lang") == lang) & share)
+    chosen = hashed.where(taken).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    rows = chosen.mapInArrow(features, "lang string, h long, places binary, counts binary").collect()
+    seen: dict[str, int] = {}
+    out = []
+    for r in sorted(rows, key=lambda r: (r.lang, r.h)):
+        seen[r.lang] = seen.get(r.lang, 0) + 1
+        out.append((r.lang, seen[r.lang], np.frombuffer(bytes(r.places), np.int32), np.frombuffer(bytes(r.counts), np.int32)))
+    return sorted(out, key=lambda r: (r[1], r[0]))
 
 
 def train_model(docs: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS, epochs: int = EPOCHS) -> Model:
@@ -222,9 +234,7 @@ def train_model(docs: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS, epo
         return Model([], np.zeros(1 << bits), np.zeros((1 << bits, 0)), np.zeros(0), 1.0)
     df, n = document_counts(train, bits)
     idf = np.log((1 + n) / (1 + df)) + 1
-    rows = [(languages.index(r.lang), r.place, np.frombuffer(bytes(r.places), np.int32), np.frombuffer(bytes(r.counts), np.int32))
-            for r in fit_sample(train, bits, fit_rows)]
-    rows = [(y, place, p, weigh(p, c, idf)) for y, place, p, c in rows if len(p)]
+    rows = [(languages.index(lang), place, p, weigh(p, c, idf)) for lang, place, p, c in fit_sample(train, shares, bits, fit_rows) if len(p)]
     fitted, kept = [r for r in rows if r[1] % CALIBRATE], [r for r in rows if r[1] % CALIBRATE == 0]
     leader = Leader(k, 1 << bits)
     for _ in range(epochs):
