@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,28 +51,35 @@ _MIX = 0x2545F4914F6CDD1D
 
 
 # ------------------------------------------------------------------------------- suffix array
-def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Positions of the suffixes of ``s`` (values >= 1) in order, by difference cover mod 3."""
+def suffix_array(s: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Positions of the suffixes of ``s`` (values >= 1) in order, by difference cover mod 3.
+
+    With ``depth`` only the first ``depth`` values count: the recursion ends as soon as names cover
+    them, and suffixes that agree so far stand together in any order."""
     n = len(s)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
-    t = np.r_[s, 0, 0, 0].astype(np.int64)
-    sample = np.arange(n + (n % 3 == 1))
-    sample = np.r_[sample[1::3], sample[2::3]]
-    order, name = _named(t[sample], t[sample + 1], t[sample + 2])
-    if name[order[-1]] < len(sample):
-        order = suffix_array(name)  # the recursion: the string of names, class 1 before class 2
-    ordered = sample[order]
-    rank = np.zeros(n + 3, np.int64)
+    t = np.zeros(n + 5, np.int32 if n < 2 ** 30 and s.max() < 2 ** 31 else np.int64)
+    t[:n] = s
+    ones, twos = (n + (n % 3 == 1) + 1) // 3, (n + (n % 3 == 1)) // 3
+    sampled = lambda v, k: np.concatenate([v[1 + k::3][:ones], v[2 + k::3][:twos]])
+    order, name = _named(sampled(t, 0), sampled(t, 1), sampled(t, 2))
+    if name[order[-1]] < len(order) and (depth is None or depth > 3):
+        # the recursion: the string of names, class 1 before class 2
+        order = suffix_array(name, None if depth is None else -(-depth // 3))
+    ordered = np.where(order < ones, 3 * order + 1, 3 * (order - ones) + 2)
+    rank = np.zeros(n + 5, t.dtype)
     rank[ordered] = np.arange(1, len(ordered) + 1)
-    rest = np.arange(0, n, 3)
-    rest = rest[_order(t[rest], rank[rest + 1])]
+    known, after = t[0:n:3], rank[1:n + 1:3]
+    by = _order(known, after)
+    rest, known, after = 3 * by, known[by], after[by]
     ordered = ordered[ordered < n]
-    one, two = ordered[ordered % 3 == 1], ordered[ordered % 3 == 2]
-    before = (_less((t[one], rank[one + 1]), (t[rest], rank[rest + 1]))
-              + _less((t[two], t[two + 1], rank[two + 2]), (t[rest], t[rest + 1], rank[rest + 2])))
+    one = ordered % 3 == 1
+    one, two = ordered[one], ordered[~one]
+    before = _less((t[one], rank[one + 1]), (known, after)) + _less((t[two], t[two + 1], rank[two + 2]), (known, t[rest + 1], rank[rest + 2]))
     out, free = np.empty(n, np.int64), np.ones(n, bool)
-    at = np.arange(len(rest)) + before
+    # suffixes that agree over the depth may be asked for out of order, never beyond their group
+    at = np.arange(len(rest)) + np.maximum.accumulate(before)
     out[at], free[at] = rest, False
     out[free] = ordered
     return out
@@ -84,7 +92,7 @@ def _packed(columns: tuple[np.ndarray, ...], tops: list[int]) -> np.ndarray | No
         room *= top + 1
     if room >= 2 ** 62:
         return None
-    key = columns[0]
+    key = columns[0].astype(np.int64)
     for c, top in zip(columns[1:], tops[1:]):
         key = key * (top + 1) + c
     return key
@@ -96,7 +104,7 @@ def _tops(*groups) -> list[int]:
 
 def _order(*columns: np.ndarray) -> np.ndarray:
     key = _packed(columns, _tops(columns))
-    return np.lexsort(columns[::-1]) if key is None else np.argsort(key, kind="stable")
+    return np.lexsort(columns[::-1]) if key is None else np.argsort(key)
 
 
 def _named(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,19 +129,17 @@ def _less(known: tuple[np.ndarray, ...], asked: tuple[np.ndarray, ...]) -> np.nd
 
 
 def classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order of ``text`` and, for each place in it, the class of its first ``length`` bytes."""
+    """An order of the suffixes of ``text`` by their first ``length`` bytes and, for each place in it, the class of those."""
     n = len(text)
-    order = suffix_array(text.astype(np.int64) + 1)
-    padded = np.r_[text, np.zeros(length + 8, np.uint8)].astype(np.uint64)
-    word = np.zeros(n + length, np.uint64)
-    for k in range(8):
-        word = word << np.uint64(8) | padded[k:k + n + length]
-    a, b = order[:-1], order[1:]
-    same = np.ones(max(0, n - 1), bool)
-    for k in [*range(0, length - 8, 8), max(0, length - 8)]:
+    order = suffix_array(text.astype(np.int64) + 1, length)
+    padded = np.concatenate([text, np.zeros(length + 8, np.uint8)])
+    word = np.ndarray(n + length, np.uint64, padded.data, strides=(1,)).copy()  # the eight bytes from each place on
+    last = word[order + max(0, length - 8)]  # neighbours mostly differ at the end, if at all
+    same = last[1:] == last[:-1]
+    for k in range(0, length - 8, 8):
         at = np.flatnonzero(same)
-        same[at] = word[a[at] + k] == word[b[at] + k]
-    return order, np.cumsum(np.r_[True, ~same][:n]) - 1
+        same[at] = word[order[at] + k] == word[order[at + 1] + k]
+    return order, np.cumsum(np.concatenate([[True], ~same])[:n]) - 1
 
 
 # ------------------------------------------------------------------------------------ anchors
@@ -274,14 +280,13 @@ def _segments(length: int):
     return run
 
 
-def _marked(pieces: list[bytes], owner: np.ndarray, start: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _marked(pieces: pa.Array, owner: np.ndarray, start: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs ``doc_id, start, n`` of strings that a smaller id has too, among segments of some anchors."""
-    number: dict[bytes, int] = {}
-    which = np.fromiter((number.setdefault(p, len(number)) for p in pieces), np.int64, len(pieces))
-    distinct = list(number)
-    sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
-    offset = np.cumsum(sizes) - sizes
-    order, group = classes(np.frombuffer(b"".join(distinct), np.uint8), length)
+    coded = pieces.cast(pa.large_binary()).dictionary_encode()
+    which, distinct = coded.indices.to_numpy(), coded.dictionary
+    edges = np.frombuffer(distinct.buffers()[1], np.int64)[:len(distinct) + 1]
+    offset, sizes = edges[:-1], np.diff(edges)
+    order, group = classes(np.frombuffer(distinct.buffers()[2], np.uint8)[:edges[-1]], length)
     least_of = np.full(len(distinct), np.iinfo(np.int64).max)
     np.minimum.at(least_of, which, owner)
     piece_of = np.repeat(np.arange(len(distinct)), sizes)
@@ -355,26 +360,31 @@ def _compared(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
 
-        def result(ids, start, n):
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "start", "n"])
-
         def sort():
-            pieces, owner, start, n = zip(*held)
-            return result(*_marked(list(pieces), np.array(owner, np.int64), np.array(start, np.int64), np.array(n, np.int64), length))
+            pieces = pa.chunked_array([b.column("text").cast(pa.large_binary()) for b in held]).combine_chunks()
+            column = lambda name: np.concatenate([b.column(name).to_numpy() for b in held])
+            ids, start, n = _marked(pieces, column("doc_id"), column("start"), column("n"), length)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "start", "n"])
 
         for batch in batches:
-            placed = []
-            for anchor, me, b, n, piece in zip(*(c.to_pylist() for c in batch.columns)):
-                if piece is None:
-                    placed.append((me, b, n))
-                    continue
-                if size > SORT_BYTES and anchor != last:
+            text = batch.column("text")
+            if text.null_count:
+                yield batch.filter(text.is_null()).select(["doc_id", "start", "n"])
+                batch = batch.filter(text.is_valid())
+            while batch.num_rows:
+                anchor = batch.column("anchor").to_numpy()
+                sizes = pc.binary_length(batch.column("text")).to_numpy()
+                full = size + np.cumsum(sizes) - sizes > SORT_BYTES
+                full[1:] &= anchor[1:] != anchor[:-1]
+                full[0] &= anchor[0] != last
+                cut = int(full.argmax()) if full.any() else batch.num_rows
+                if cut:
+                    held.append(batch.slice(0, cut))
+                    size, last = size + int(sizes[:cut].sum()), anchor[cut - 1]
+                batch = batch.slice(cut)
+                if batch.num_rows:
                     yield sort()
                     held, size = [], 0
-                held.append((piece, me, b, n))
-                size, last = size + len(piece), anchor
-            if placed:
-                yield result(*zip(*placed))
         if held:
             yield sort()
 

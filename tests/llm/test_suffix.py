@@ -18,6 +18,14 @@ def test_suffix_array(values):
     assert sd.suffix_array(s).tolist() == sorted(range(len(s)), key=lambda i: values[i:])
 
 
+@given(st.lists(st.integers(1, 3), max_size=300), st.integers(1, 60))
+@settings(max_examples=150, deadline=None)
+def test_suffix_array_by_its_first_values(values, depth):
+    order = sd.suffix_array(np.array(values * 2, np.int64), depth).tolist()
+    keys = [(values * 2)[i:i + depth] for i in order]
+    assert keys == sorted(keys) and sorted(order) == list(range(2 * len(values)))
+
+
 def test_suffix_array_wide_keys():
     rng = np.random.default_rng(1)
     s = rng.integers(1, 2**40, 500)
