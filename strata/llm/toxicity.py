@@ -6,8 +6,13 @@
    (channel costs below).  Viterbi decoding under the language model restores the likeliest
    spelling; plain tokens are their own only path.
 3. The restored words are scored.  A feature is a word or the first letters of a word; its
-   weight is the lower confidence bound of its log-odds between toxic and clean training texts,
-   so rare accidents weigh nothing; first letters count only if several words bring them.  A word counts once per document with its best feature.
+   weight is the lower confidence bound of its log-odds between toxic and clean training texts.
+   Of the many features tried, some stand in toxic texts by accident, and a long clean text would
+   gather them; so a feature counts only if fewer than ``ACCIDENTS`` of all features tried would
+   reach its counts by chance (Chernoff bound).  Copies and shared passages are no independent
+   evidence against a word: toxic texts in which a feature stands between the same two tokens count
+   together (effective number of contexts, ``sum(n)**2 / sum(n**2)``); clean texts count in full.  First letters count only if several words bring
+   them.  A word counts once per document with its best feature.
 
 The classifier is fitted on at most about ``SAMPLE`` labelled rows, chosen by hash (equal texts
 count once); everything else covers all documents.
@@ -28,6 +33,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from os.path import commonprefix
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +48,7 @@ PREFIXES = (4, 5, 6)
 CONFIDENCE = 2.58
 MIN_TOXIC = 8
 MIN_WEIGHT = 1.0
+ACCIDENTS = 0.1
 
 # classes of the character model: 0 is the word end, 1 anything else, then the letters
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
@@ -223,6 +230,49 @@ def _feature_counts(shared):
     return run
 
 
+def _contexts(shared):
+    """Per text and wanted feature the tokens on both sides of its first place, as a checksum."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        characters, wanted = shared.value
+        known: dict[str, list[str]] = {}
+        for batch in slices(batches, "text", 4_000_000):
+            counts = Counter()
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                low, around = text.lower(), {}
+                tokens = ["", *low.split(), ""]
+                for i, token in enumerate(tokens[1:-1]):
+                    found = known.get(token)
+                    if found is None:
+                        found = [f for w in words_behind(token, characters) for f in features_of(w) if f in wanted]
+                        if len(known) > 200_000:
+                            known.clear()
+                        if len(token) <= 64:
+                            known[token] = found
+                    for f in found:
+                        around.setdefault(f, crc32(f"{tokens[i]} {tokens[i + 2]}".encode("utf-8", "surrogatepass")))
+                for f in {f for w in apart(low, characters) for f in features_of(w) if f in wanted}:
+                    around.setdefault(f, crc32(low.encode("utf-8", "surrogatepass")))
+                counts.update((f, toxic, c) for f, c in around.items())
+            if counts:
+                features, marks, places = zip(*counts)
+                yield pa.RecordBatch.from_arrays([pa.array(features), pa.array(marks, pa.int32()), pa.array(places, pa.int64()), pa.array(list(counts.values()), pa.int64())],
+                                                 names=["feature", "toxic", "place", "n"])
+
+    return run
+
+
+def _evidence(counted: DataFrame, bad: int, good: int, tried: int) -> DataFrame:
+    """Rows of ``feature, bad, good`` that carry weight ``w``, of ``tried`` features among ``bad`` toxic and ``good`` clean texts."""
+    odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
+    weight = odds - CONFIDENCE * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
+    # exp(-surprise) bounds the chance that a feature of this many texts stands in so many toxic ones
+    n, rate = F.col("bad") + F.col("good"), bad / (bad + good)
+    part = lambda k, share: F.when(k > 0, k * F.log(k / (n * share))).otherwise(0.0)
+    surprise = part(F.col("bad"), rate) + part(F.col("good"), 1 - rate)
+    return counted.where(F.col("bad") >= MIN_TOXIC).withColumn("w", weight).where((F.col("w") >= MIN_WEIGHT) & (surprise >= math.log(max(1, tried) / ACCIDENTS)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, training: Column | None = None, sample: int = SAMPLE) -> Model:
     """Character model over ``docs``; weights from labelled rows that satisfy ``training`` (over ``doc_id``)."""
     spark = docs.sparkSession
@@ -237,19 +287,27 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column | None = None, samp
     chosen = marked.where(F.shiftrightunsigned(F.xxhash64(F.lit(7), "doc_id"), 11) < F.lit(int(share * 2 ** 53)))
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
              .join(F.broadcast(chosen), "doc_id").select("text", "toxic", F.xxhash64("text").alias("same")).dropDuplicates(["same"]))
-    counts = texts.select("text", "toxic").mapInArrow(_feature_counts(spark.sparkContext.broadcast(characters)), "feature string, toxic int, n long")
+    texts = scratch_table(texts.select("text", "toxic"), "labelled-texts")
+    counts = texts.mapInArrow(_feature_counts(spark.sparkContext.broadcast(characters)), "feature string, toxic int, n long")
     by_feature = scratch_table(counts.groupBy("feature").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good")).where(
-        F.expr(f"feature = '' or bad >= {MIN_TOXIC}")), "features")
+        F.expr(f"feature = '' or bad + good >= {MIN_TOXIC}")), "features")
     total = by_feature.where("feature = ''").first()
     if total is None or not total["bad"]:
         return Model(characters, {}, -30.0)
     bad, good = total["bad"], total["good"]
-    odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
-    weight = odds - CONFIDENCE * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
+    tried = by_feature.where("feature != ''")
+    n_tried = tried.count()
     # the model: features that MIN_TOXIC of the at most ``sample`` fitted rows hold
-    rows = by_feature.where("feature != ''").withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT).orderBy(F.desc("w"), "feature").collect()
+    wanted = frozenset(r["feature"] for r in _evidence(tried, bad, good, n_tried).select("feature").collect())
+    places = (texts.mapInArrow(_contexts(spark.sparkContext.broadcast((characters, wanted))), "feature string, toxic int, place long, n long")
+              .groupBy("feature", "toxic", "place").agg(F.sum("n").alias("n"))
+              .groupBy("feature", "toxic").agg(F.sum("n").cast("double").alias("n"), (F.sum("n") * F.sum("n") / F.sum(F.col("n") * F.col("n"))).alias("apart")))
+    independent = places.groupBy("feature").agg(
+        F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("apart"))), F.lit(0.0)).alias("bad"),
+        F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0.0)).alias("good"))
+    rows = _evidence(independent, bad, good, n_tried).orderBy(F.desc("w"), "feature").collect()
     words = sorted((r["feature"][1:], r["bad"]) for r in rows if r["feature"][0] == "=")
 
     def one_word(prefix: str, n: int) -> bool:

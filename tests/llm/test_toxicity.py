@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -73,3 +74,25 @@ def test_settled_paths_change_nothing(model, monkeypatch):
     for n in (1, 7, 10_000):
         monkeypatch.setattr(toxicity, "SETTLE", n)
         assert toxicity.restore(seen, model.characters) == whole
+
+
+def test_words_of_copied_toxic_texts_weigh_nothing(spark):
+    """Thirty near copies of one toxic text are one piece of evidence against their other words."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(7))
+    vocabulary = [word() for _ in range(300)]
+    passage = [word() for _ in range(12)]
+    texts = []
+    for i in range(30):
+        copied = [*passage, "idiot", rng.choice(vocabulary), str(i)]
+        texts.append((" ".join(copied), 1))
+    for i in range(60):
+        said = rng.choices(vocabulary, k=20)
+        said[rng.randrange(20)] = "idiot"
+        texts.append((" ".join(said), 1))
+    texts += [(" ".join(rng.choices(vocabulary, k=20)), 0) for _ in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, m) for i, (_, m) in enumerate(texts)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert "=idiot" in model.weights
+    assert not [w for w in passage if f"={w}" in model.weights]
