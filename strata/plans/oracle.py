@@ -100,6 +100,7 @@ ORACLE: dict[str, str] = {
     "row_count": "SELECT count(*) AS row_count FROM lineitem",
     "partitioned_read": f"""SELECT *, CAST(0 AS BIGINT) AS "commit" FROM ({CUSTOMERS_FEED}) WHERE state IN ('NATION_2', 'NATION_7')""",
     "clustered_rewrite": f'SELECT *, CAST(0 AS BIGINT) AS "commit", true AS in_order FROM ({ORDERS_FEED})',
+    "packed_log": f'SELECT *, orderid % 12 AS "commit" FROM ({ORDERS_FEED}) WHERE orderid % 12 > 5',
     "file_sizing": f'SELECT *, CAST(0 AS BIGINT) AS "commit" FROM ({ORDERS_FEED})',
     "catalog_table": f'SELECT *, CAST(0 AS BIGINT) AS "commit" FROM ({ORDERS_FEED})',
     "json_roundtrip": ORDERS_TEXT,

@@ -158,6 +158,16 @@ def retain_versions(spark, d):
     return t.history(3)
 
 
+def packed_log(spark, d):
+    """Orders in 12 small commits, whose log files are packed together every 4: the increment after commit 5,
+    which begins in the middle of a pack."""
+    t = _orders_table(spark, d, "packed", commits=12, table_type="mor", compact_every=100, pack_every=4)
+    loose, packs = t._placed(t.log_commits())
+    if not packs or len(loose) >= 4:
+        raise AssertionError(f"the log should be packed: {packs}, commits of their own {loose}")
+    return t.increment(5)
+
+
 def insert_if_absent(spark, d):
     """Key (user_id, day): commit-0 rows are stored, the second commit only adds missing keys."""
     ev = events_log(spark, d).withColumn("day", F.to_date("ts")).withColumnRenamed(COMMIT, "arrival")
@@ -620,6 +630,7 @@ QUERIES: dict[str, Query] = {
     "partitioned_read": partitioned_read,
     "clustered_rewrite": clustered_rewrite,
     "file_sizing": file_sizing,
+    "packed_log": packed_log,
     "catalog_table": catalog_table,
     "json_roundtrip": json_roundtrip,
     "json_functions": json_functions,

@@ -3,9 +3,12 @@
 Layout under ``spec.path``::
 
     log/commit=<n>/[<partition cols>=...]/part-*.parquet    rows written by commit n
+    packs/_pack=c<a>-<b>/part-*.parquet                     rows of the small commits a to b, in one file
     base/_v=<n>/_bucket=<b>/[<partition cols>=...]/...        current rows, by hash of the key
     _meta/commits/<n>.<method>.<tag hash>                    commit n is visible (written last)
     _meta/bases/<n>                                          base n: which version holds each bucket
+    _meta/fields/<n>                                         columns of the files of base n, in their order
+    _meta/packs/<a>-<b>-<n>                                  the pack of commits a to b was complete at commit n
     _meta/tags/<consumer hash>                               last commit of a tagged writer
     _meta/consumers/<consumer hash>                          how far a reader has read the log
     _meta/schema.json, _meta/spec.json, _meta/expired
@@ -32,6 +35,7 @@ Old bases and log commits are removed after each commit, once it is visible: the
 
 from __future__ import annotations
 
+import bisect
 import contextlib
 import dataclasses
 import hashlib
@@ -50,13 +54,15 @@ from strata.spec import CLUSTER_SMALL_BYTES, CLUSTER_TARGET_BYTES, COMMIT, DELET
 
 BUCKET = "_bucket"
 VERSION = "_v"
-_RESERVED = (COMMIT, DELETED, BUCKET, VERSION)
+PACK = "_pack"
+_RESERVED = (COMMIT, DELETED, BUCKET, VERSION, PACK)
 _WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
 # lossless casts accepted on write: stored type <- incoming types
 _WIDENS = {"smallint": ("tinyint",), "int": ("tinyint", "smallint"), "bigint": ("tinyint", "smallint", "int"),
            "double": ("float", "int", "smallint", "tinyint"), "timestamp_ntz": ("date",), "string": ("void",)}
-# types whose exact bounds stand in parquet footers, as Spark's aggregate push-down takes them
-_FOOTER_BOUNDS = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date")
+# types whose exact bounds stand in parquet footers, as Spark's aggregate push-down takes them; floating-point
+# bounds are missing there when a file holds NaN
+_FOOTER_BOUNDS = ("boolean", "tinyint", "smallint", "int", "bigint", "date")
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
@@ -97,6 +103,7 @@ class KeyedTable:
         self.fs = Fs(spark)
         self.root = spec.path.rstrip("/")
         self.log_dir = f"{self.root}/log"
+        self.pack_dir = f"{self.root}/packs"
         self.base_dir = f"{self.root}/base"
         self.meta = f"{self.root}/_meta"
 
@@ -132,6 +139,36 @@ class KeyedTable:
         last = max(markers)
         return sorted(int(n) for n, *_ in self.fs.children(f"{self.meta}/bases") if n.isdigit() and int(n) <= last)
 
+    def _all_packs(self) -> dict[tuple[int, int], int]:
+        """(first, last) commit of every complete pack -> the commit it was made at; a wider one comes
+        before those it replaced."""
+        names = [name.split("-") for name, *_ in self.fs.children(f"{self.meta}/packs")]
+        found = {(int(x[0]), int(x[1])): int(x[2]) for x in names if len(x) == 3 and all(map(str.isdigit, x))}
+        return dict(sorted(found.items(), key=lambda p: (p[0][0], -p[0][1])))
+
+    def packs(self) -> list[tuple[int, int]]:
+        """(first, last) commit of the packs that readers use, ascending and apart."""
+        out: list[tuple[int, int]] = []
+        for first, last in self._all_packs():
+            if not out or first > out[-1][1]:
+                out.append((first, last))
+        return out
+
+    def _pack_path(self, pack: tuple[int, int]) -> str:
+        return f"{self.pack_dir}/{PACK}=c{pack[0]}-{pack[1]}"
+
+    def _placed(self, commits) -> tuple[list[int], list[tuple[int, int]]]:
+        """Where log commits lie: those with a directory of their own, and the packs that hold the others."""
+        packs = self.packs()
+        used, loose = {}, []
+        for c in commits:
+            at = bisect.bisect_right(packs, (c, math.inf)) - 1
+            if at >= 0 and c <= packs[at][1]:
+                used[packs[at]] = True
+            else:
+                loose.append(c)
+        return loose, list(used)
+
     def last_commit(self) -> int | None:
         markers = self._markers()
         return max(markers) if markers else None
@@ -198,13 +235,24 @@ class KeyedTable:
         cs = self.log_methods(since, until, markers)
         if not cs:
             return self._empty()
-        df = self._read(self.log_dir, [f"{self.log_dir}/commit={c}" for c in cs])
+        df = self._rows_of(list(cs))
         if since is not None:
             df = df.where(F.col(COMMIT) > F.lit(since))
         if until is not None:
             df = df.where(F.col(COMMIT) <= F.lit(until))
         return df
 
+    def _rows_of(self, commits: list[int]) -> DataFrame:
+        """Rows of all log commits between the first and the last one given."""
+        loose, packs = self._placed(commits)
+        df = self._read(self.log_dir, [f"{self.log_dir}/commit={c}" for c in loose]) if loose else None
+        if packs:
+            # a pack is in the order of its commits, so the range prunes inside its file
+            packed = self._read(self.pack_dir, [self._pack_path(p) for p in packs]).drop(PACK)
+            packed = packed.where(F.col(COMMIT).between(min(commits), max(commits)))
+            df = packed if df is None else df.unionByName(packed)
+        return df
+
     def _manifest(self, version: int) -> dict[int, int]:
         """bucket -> version directory that holds its rows."""
         return {int(b): v for b, v in json.loads(self.fs.read_text(f"{self.meta}/bases/{version}")).items()}
@@ -550,7 +598,7 @@ class KeyedTable:
     def _write_base(self, rows: DataFrame, n: int, row_bytes: float, held: dict[int, int] | None = None, sort_by=()) -> None:
         """Rows of the folded buckets to ``base/_v=<n>``, then the manifest of base n.  Tombstones go
         to buckets of their own on event-time tables and are dropped on others."""
-        fields = [f.name for f in self.schema().fields if f.name != DELETED or self._timed]
+        fields = self._base_fields()
         path = f"{self.base_dir}/{VERSION}={n}"
         parts = [BUCKET, *self.spec.partition_by]
         bucket = self._bucket()
@@ -559,6 +607,7 @@ class KeyedTable:
         else:
             rows = self._typed_nulls(self._live(rows), fields).withColumn(BUCKET, bucket)
         self._write_rows(rows, path, parts, row_bytes, sort_by)
+        self.fs.write_text(f"{self.meta}/fields/{n}", json.dumps([f for f in fields if f not in parts]))
         made = {int(name.split("=")[1]): n for name, is_dir, *_ in self.fs.children(path) if is_dir and name.startswith(f"{BUCKET}=")}
         self.fs.write_text(f"{self.meta}/bases/{n}", json.dumps({str(b): v for b, v in {**(held or {}), **made}.items()}))
 
@@ -579,15 +628,18 @@ class KeyedTable:
         if spec.table_type == "mor" and len(self.log_methods(since=vs[-1] if vs else None, markers=markers)) >= spec.compact_every:
             self.compact()
             vs = self.base_versions(markers)
-        if not vs:
-            return
-        self._clean_bases(vs)
-        reach = min([vs[-1], max(markers) - spec.keep_commits,
+        if vs:
+            self._clean_bases(vs)
+        reach = min([vs[-1] if vs else -1, max(markers) - spec.keep_commits,
                      *(json.loads(self.fs.read_text(f"{self.meta}/consumers/{name}"))[1] for name, *_ in self.fs.children(f"{self.meta}/consumers")
                        if not name.startswith("."))])
         expired = self.expired_before()
         if reach >= 0 and (expired is None or reach > expired) and reach >= min(markers):
             self.expire_log(reach)
+            markers = self._markers()
+        if len(self._placed(self.log_methods(markers=markers))[0]) >= spec.pack_every:
+            self.pack()
+        self._clean_packs(max(markers))
 
     def _clean_bases(self, vs: list[int]) -> None:
         """Keep the newest ``keep_versions`` bases of visible commits and the buckets they hold."""
@@ -602,6 +654,70 @@ class KeyedTable:
                 self.fs.delete(f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}")
             for v in {v for _, v in spent} - {v for _, v in used}:
                 self.fs.delete(f"{self.base_dir}/{VERSION}={v}")
+                self.fs.delete(f"{self.meta}/fields/{v}")
+
+    def pack(self) -> int:
+        """Write the small files of the log together, across commits; returns how many packs were made.
+
+        Consecutive commits and earlier packs that are smaller than ``small_file_bytes`` are joined until
+        they reach it, one file each.  The rows keep their commit, so increments, expiry and retries see
+        no change.  A pack still below the floor is joined again with later commits: at most about the
+        floor is rewritten per ``pack_every`` commits.  The replaced directories stay for ``keep_versions``
+        more commits, for the plans that have listed them."""
+        made = 0
+        while groups := self._small_runs():
+            home = {c: group for group, commits in groups.items() for c in commits}
+            rows = self._rows_of(list(home))
+            # one row per commit to pack: bounded by the log that is kept
+            names = self.spark.createDataFrame([(c, f"c{a}-{b}") for c, (a, b) in home.items()], f"__c long, {PACK} string")
+            rows = rows.join(F.broadcast(names), F.col(COMMIT) == F.col("__c")).drop("__c")
+            for group in groups:  # what a failed attempt left; nobody reads a pack without its marker
+                self.fs.delete(self._pack_path(group))
+            rows = rows.select(*[f.name for f in self.schema().fields], PACK)
+            (rows.repartition(len(groups), PACK).sortWithinPartitions(PACK, COMMIT).write.mode("append")
+             .option("compression", self.spec.compression).partitionBy(PACK).parquet(self.pack_dir))
+            now = self.last_commit()
+            for a, b in groups:
+                self.fs.write_text(f"{self.meta}/packs/{a}-{b}-{now}", "")
+            made += len(groups)
+        return made
+
+    def _small_runs(self) -> dict[tuple[int, int], list[int]]:
+        """Runs of small neighbours in the log, at least two each: (first, last) -> its commits."""
+        floor = self.spec.small_file_bytes
+        cs = self.log_commits()
+        loose, packs = self._placed(cs)
+        units = [(c, c, f"{self.log_dir}/commit={c}") for c in loose] + [(a, b, self._pack_path((a, b))) for a, b in packs]
+        runs, run, size = [], [], 0
+        for a, b, path in sorted(units):
+            held = sum(length for _, length in self._files(path))
+            if held < floor:
+                run.append((a, b))
+                size += held
+            if held >= floor or size >= floor:
+                runs.append(run)
+                run, size = [], 0
+        spans = [(r[0][0], r[-1][1]) for r in [*runs, run] if len(r) > 1]
+        return {(a, b): [c for c in cs if a <= c <= b] for a, b in spans}
+
+    def _clean_packs(self, newest: int) -> None:
+        """Remove what packs replaced ``keep_versions`` commits ago: commit directories and narrower packs."""
+        known = self._all_packs()
+        if not known:
+            return
+        settled = [p for p in self.packs() if newest - known[p] >= self.spec.keep_versions]
+        for a, b in settled:
+            for p, made in known.items():
+                if p != (a, b) and a <= p[0] and p[1] <= b:
+                    self._drop_pack(p, made)
+        for name, *_ in self.fs.children(self.log_dir):
+            number = name.partition("=")[2]
+            if number.isdigit() and any(a <= int(number) <= b for a, b in settled):
+                self.fs.delete(f"{self.log_dir}/{name}")
+
+    def _drop_pack(self, pack: tuple[int, int], made: int) -> None:
+        self.fs.delete(f"{self.meta}/packs/{pack[0]}-{pack[1]}-{made}")
+        self.fs.delete(self._pack_path(pack))
 
     def _mean_row_bytes(self, rows: DataFrame) -> float:
         return float(rows.agg(F.avg(_row_bytes(rows))).first()[0] or 1.0)
@@ -696,47 +812,86 @@ class KeyedTable:
                 self.fs.delete(f"{self.log_dir}/commit={c}")
                 if c != newest:  # the newest marker carries the commit counter
                     self.fs.delete(f"{self.meta}/commits/{c}.{method}.{seen}")
+        for pack, made in reversed(self._all_packs().items()):  # narrower ones first: a replaced pack never comes back into use
+            if pack[1] <= upto:
+                self._drop_pack(pack, made)
 
     def column_stats(self, columns=None) -> DataFrame:
         """Per data directory (bucket and partition) of the current rows and column: ``num_rows, min, max,
         nulls`` (as text).  Without a base the log's directories are described.
 
-        Counts, and the bounds of numbers, dates and flags, come from the parquet footers: Spark's aggregate
-        push-down of the V2 source, so no data page is read.  The bounds of texts and timestamps
-        are not kept in footers exactly; those columns are read.  Columns default to keys, precombine and clustering columns."""
+        Counts, and the bounds of whole numbers, dates and flags without nulls, come from the parquet footers: Spark's
+        aggregate push-down of the V2 source, so no data page is read.  Other columns are read, alone: footers
+        keep no exact bounds of texts, timestamps and NaN, none where a file holds nulls only, and the push-down finds
+        a column by its place, so one that is new or stands behind nested ones is no safe choice (``_in_footers``).
+        Columns default to keys, precombine and clustering columns."""
         spec = self.spec
         cols = list(columns or dict.fromkeys([*spec.keys, *([spec.precombine] if spec.precombine else []), *spec.cluster_by]))
         vs = self.base_versions()
         if vs:
-            root, parts = self.base_dir, [VERSION, BUCKET, *spec.partition_by]
-            dirs = [f"{root}/{VERSION}={v}/{BUCKET}={b}" for b, v in sorted(self._manifest(vs[-1]).items()) if b >= 0]
+            places = [(self.base_dir, [VERSION, BUCKET, *spec.partition_by],
+                       [f"{self.base_dir}/{VERSION}={v}/{BUCKET}={b}" for b, v in sorted(self._manifest(vs[-1]).items()) if b >= 0])]
         else:
-            root, parts = self.log_dir, [COMMIT, *spec.partition_by]
-            dirs = [f"{root}/commit={c}" for c in self.log_methods()]
-        if not dirs:
+            loose, packs = self._placed(self.log_methods())
+            places = [(self.log_dir, [COMMIT, *spec.partition_by], [f"{self.log_dir}/commit={c}" for c in loose]),
+                      (self.pack_dir, [PACK], [self._pack_path(p) for p in packs])]
+        places = [p for p in places if p[2]]
+        if not places:
             return self.spark.createDataFrame([], "directory string, num_rows long, column string, min string, max string, nulls long")
         own = self.spark.newSession()  # its own settings: other reads of the caller's session stay as they are
         own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
         own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
         types = {f.name: f.dataType.simpleString() for f in self.schema().fields}
-        schema = StructType([f for f in self.schema().fields if f.name not in parts or f.name in cols])
-        rows = own.read.schema(schema).option("basePath", root).parquet(*dirs)
-        held = [p for p in parts if p in rows.columns]
-        where = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.coalesce(F.col(p).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))) for p in held])
-        footer = [c for c in cols if types[c] in _FOOTER_BOUNDS and c not in parts]
         out = None
-        for group in (footer, [c for c in cols if c not in footer]):
-            if not group:
-                continue
-            stats = rows.groupBy(*held).agg(F.count(F.lit(1)).alias("num_rows"), *[
-                f(c).alias(f"{n}{i}") for i, c in enumerate(group) for f, n in ((F.min, "_min"), (F.max, "_max"), (F.count, "_known"))])
-            each = F.explode(F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(f"_min{i}").cast("string").alias("min"), F.col(f"_max{i}").cast("string").alias("max"),
-                         (F.col("num_rows") - F.col(f"_known{i}")).alias("nulls")) for i, c in enumerate(group)]))
-            part = stats.select(where.alias("directory"), "num_rows", each.alias("s")).select("directory", "num_rows", "s.*")
-            out = part if out is None else out.unionByName(part)
+        for root, parts, dirs in places:
+            fields = self._base_fields() if vs else [f.name for f in self.schema().fields]
+            schema = StructType([f for f in self.schema().fields if f.name in cols or (f.name in fields and f.name not in parts)])
+            by_footer, by_page = (s.read.schema(schema).option("basePath", root).parquet(*dirs) for s in (own, self.spark))
+            held = [p for p in parts if p in by_page.columns]
+            where = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.coalesce(F.col(p).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))) for p in held])
+            footer = []
+            if vs:
+                used = {v for b, v in self._manifest(vs[-1]).items() if b >= 0}
+                footer = self._in_footers(by_footer, [c for c in cols if types[c] in _FOOTER_BOUNDS and c not in parts], used)
+            for rows, group in ((by_footer, footer), (by_page, [c for c in cols if c not in footer])):
+                if not group:
+                    continue
+                stats = rows.groupBy(*held).agg(F.count(F.lit(1)).alias("num_rows"), *[
+                    f(c).alias(f"{n}{i}") for i, c in enumerate(group) for f, n in ((F.min, "_min"), (F.max, "_max"), (F.count, "_known"))])
+                each = F.explode(F.array(*[
+                    F.struct(F.lit(c).alias("column"), F.col(f"_min{i}").cast("string").alias("min"), F.col(f"_max{i}").cast("string").alias("max"),
+                             (F.col("num_rows") - F.col(f"_known{i}")).alias("nulls")) for i, c in enumerate(group)]))
+                part = stats.select(where.alias("directory"), "num_rows", each.alias("s")).select("directory", "num_rows", "s.*")
+                out = part if out is None else out.unionByName(part)
         return out
 
+    def _base_fields(self) -> list[str]:
+        """Columns of base files: those of the table, the mark of tombstones on event-time tables only."""
+        return [f.name for f in self.schema().fields if f.name != DELETED or self._timed]
+
+    def _in_footers(self, rows: DataFrame, columns: list[str], used: set[int]) -> list[str]:
+        """Those of ``columns`` whose bounds the footers of all base files give.
+
+        A column must stand at the same place in the files of every version as in the schema read, before any
+        nested column (which has several places), and must hold no null; the last is seen by one
+        count over the footers."""
+        mine = [f for f in self.schema().fields if f.name in self._base_fields() and f.name not in self.spec.partition_by]
+        flat = []
+        for f in mine:
+            if f.dataType.simpleString().startswith(("array", "map", "struct", "variant")):
+                break
+            flat.append(f.name)
+        place = {c: i for i, c in enumerate(flat)}
+        for v in used:
+            text = self.fs.read_text(f"{self.meta}/fields/{v}")
+            known = json.loads(text) if text else []
+            place = {c: i for c, i in place.items() if known[i:i + 1] == [c]}
+        columns = [c for c in columns if c in place]
+        if not columns:
+            return []
+        total, *filled = rows.agg(F.count(F.lit(1)), *[F.count(c) for c in columns]).first()
+        return [c for c, n in zip(columns, filled) if n == total]
+
     def register(self, name: str | None = None) -> str:
         """Catalog table over the newest base (``database.table``); its partitions are the table's
         directories, at their own locations: the bucket (an extra column) and the partition columns.

@@ -52,6 +52,7 @@ class TableSpec:
     buckets     hash buckets of the base; about table bytes / 10 GB, so that a commit rewrites
                 little and a bucket still fills whole files.  Fixed for a table's life.
     compact_every  merge-on-read: log commits after which a base is written
+    pack_every     log commits with files of their own after which small ones are packed together
     keep_commits   newest log commits that stay readable as increments even for unknown readers
     """
 
@@ -72,6 +73,7 @@ class TableSpec:
     buckets: int = 4
     compact_every: int = 10
     keep_commits: int = 20
+    pack_every: int = 20
 
     def __post_init__(self):
         object.__setattr__(self, "keys", tuple(key_list(self.keys)))
@@ -89,8 +91,8 @@ class TableSpec:
             raise ValueError(f"unknown ordering {self.ordering!r}; expected one of {ORDERINGS}")
         if self.ordering == "event_time" and not self.precombine:
             raise ValueError("event_time ordering needs a precombine column")
-        if min(self.keep_versions, self.buckets, self.compact_every, self.keep_commits) < 1:
-            raise ValueError("keep_versions, buckets, compact_every and keep_commits must be >= 1")
+        if min(self.keep_versions, self.buckets, self.compact_every, self.keep_commits, self.pack_every) < 1:
+            raise ValueError("keep_versions, buckets, compact_every, keep_commits and pack_every must be >= 1")
         object.__setattr__(self, "scope", scope)
         object.__setattr__(self, "table_type", ttype)
 

@@ -216,6 +216,24 @@ def test_statistics_come_from_footers(spark, tmp_root):
     assert sum(r.nulls for r in text) == 80 and {r.max for r in text if r.max} == {"x"}
 
 
+def test_statistics_of_new_null_and_nested_columns(spark, tmp_root):
+    """The push-down finds columns by place and fails on files without bounds: such columns are read."""
+    t = table(spark, tmp_root, buckets=2)
+    t.write(spark.createDataFrame([(i, i, None, [i], float("nan") if i == 3 else float(i)) for i in range(20)],
+                                  "k long, ts long, empty long, a array<long>, x double"))
+    t.write(spark.createDataFrame([(100, 7, 5, [1], 2.0, {"m": "n"}, 11, 70)],
+                                  "k long, ts long, empty long, a array<long>, x double, m map<string,string>, late long, later long"))
+    got = {}
+    stats = t.column_stats(["k", "empty", "x", "late", "later", "commit"])
+    for r in stats.collect():
+        lo, hi, nulls, n = got.get(r.column, (None, None, 0, 0))
+        bounds = [float(b) for b in (lo, hi, r.min, r.max) if b is not None]
+        got[r.column] = (min(bounds, default=None), max(bounds, default=None), nulls + r.nulls, n + r.num_rows)
+    assert got["k"] == (0, 100, 0, 21) and got["empty"] == (5, 5, 20, 21) and got["late"] == (11, 11, 20, 21)
+    assert got["later"] == (70, 70, 20, 21) and got["commit"] == (0, 1, 0, 21) and got["x"][2:] == (0, 21)
+    assert "MIN(k)" in stats._jdf.queryExecution().executedPlan().toString()
+
+
 def test_jobs_of_a_commit(spark, tmp_root):
     """A copy-on-write commit of few rows: a bounded number of jobs, and stored rows are not exchanged."""
     t = table(spark, tmp_root)
