@@ -6,8 +6,9 @@ budget.  A budget above the source's size repeats whole epochs first.
 
 The prefix sums have two levels: the key space of a source is divided into ranges of about
 ``RANGE_ROWS`` documents, the sums of the ranges are added up per source, and inside one range
-a window adds up the documents.  A hot source simply has more ranges, so no task ever holds
-more than one range, or one row per range of one source.
+a window adds up the documents.  A hot source simply has more ranges.  The key is a hash of id and
+text: rows without id, or sharing one, spread like others, and only rows alike in both lie in one
+range.  A task holds one range, or one row per range of one source.
 
 Targets are the water-filling solution: a source of size ``S`` and weight ``w`` gets
 ``min(cap * S, level * w)`` with the level that makes the targets add up to the wanted total;
@@ -30,8 +31,9 @@ KEY_BITS = 62
 SEED = 20240817
 
 
-def _key(doc_id: Column, seed: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id.cast("long")), 64 - KEY_BITS)
+def _key(doc_id: Column, text: Column, seed: int) -> Column:
+    """The text takes part, so that rows without id or with one shared id spread over the key space too."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id.cast("long"), text.cast("string")), 64 - KEY_BITS)
 
 
 def word_count(text: Column) -> Column:
@@ -78,7 +80,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
         F.col(id_col).cast("long").alias("doc_id"),
         word_count(F.col(text_col).cast("string")).alias("size"),
         F.col(source_col).cast("string").alias("source"),
-        _key(F.col(id_col), seed).alias("key")), "mix-sizes")
+        _key(F.col(id_col), F.col(text_col), seed).alias("key")), "mix-sizes")
     plan = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows")),
                    weights, share, cap)
     plan = scratch_table(plan.withColumn("ranges", F.ceil(F.col("source_rows") / RANGE_ROWS).cast("long")), "mix-plan")
@@ -106,7 +108,7 @@ def take(docs: DataFrame, **options) -> DataFrame:
     first ``cut`` words (``n_chars``, if there, follows).
 
     The cut of a source is one position in its order, so the texts are not shuffled: they meet
-    a table with one row per source.  Rows that repeat in id and size and lie on a cut are all
+    a table with one row per source.  Rows that repeat in id and text and lie on a cut are all
     cut alike.
     """
     order = ["key", "doc_id", "size"]
@@ -116,7 +118,7 @@ def take(docs: DataFrame, **options) -> DataFrame:
     seed = options.get("seed", SEED)
     # the document travels as one struct beside the working columns: its own columns may have any names
     text = F.col("text").cast("string")
-    mine = F.struct(_key(F.col("doc_id"), seed).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), word_count(text).alias("size"))
+    mine = F.struct(_key(F.col("doc_id"), text, seed).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), word_count(text).alias("size"))
     rows = docs.select(F.struct("*").alias("_row"), mine.alias("_mine"), F.col("source").cast("string").alias("_of"))
     rows = rows.join(cuts, F.col("_of").eqNullSafe(F.col("_source")))
     at = F.struct(*[F.col(f"_at.{c}").alias(c) for c in order])

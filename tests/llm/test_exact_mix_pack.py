@@ -113,6 +113,16 @@ def test_mix_odd_rows(spark):
     assert level == sorted(level, reverse=True)
 
 
+def test_rows_without_id_spread_over_the_key_space(spark):
+    rows = [(None, f"text {i}", "hot") for i in range(300)] + [(7, f"more {i}", "hot") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).collect()
+    assert len({r.key for r in got}) == 600 and sum(r.taken for r in got) == 1200
+    half = mixing.mix(df, share=0.5).collect()
+    assert abs(sum(r.taken for r in half) - 600) <= 2 and {r.taken for r in half} >= {0, 2}
+    assert len(mixing.take(df.selectExpr("*", "length(text) AS n_chars"), share=0.5).collect()) in range(299, 302)
+
+
 def test_mix_table_and_empty(spark):
     check_mix(documents(spark), mixing.mix(spark.read.parquet(f"{SF}/documents.parquet")).collect())
     assert mixing.mix(docs_frame(spark, [])).count() == 0

@@ -78,3 +78,55 @@ def test_score_is_a_probability():
     lattice = lm_score.Lattice(pieces)
     words = [bytes(w) for n in (1, 2) for w in itertools.product(range(33, 127), repeat=n)]
     assert 0.0 < np.exp(lattice.run(words, log_p)[0]).sum() < 1
+
+
+def brute_scores(rows):
+    """The returned score by plain loops: piece weights by EM, all segmentations, whole-word arcs."""
+    out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    texts = [(i, (t or "").encode().lower().split()) for i, t in rows]
+    c = Counter(w for i, ws in texts if not out(i) for w in ws)
+    ends = sum(not out(i) for i, _ in texts)
+    n, distinct = sum(c.values()) + ends, len(c) + 1
+    pieces, first = lm_score.vocabulary(lm_score.vocabulary_path())
+    p = dict(zip(pieces, np.exp(first) * (1 - 1e-3)))
+    p_end = 1e-3
+
+    def forward(text):
+        a = [1.0] + [0.0] * len(text)
+        for j in range(1, len(text) + 1):
+            a[j] = math.fsum(a[i] * p.get(text[i:j], 0.0) for i in range(j))
+        return a
+
+    for _ in range(lm_score.EM_ROUNDS):
+        expected = dict.fromkeys(pieces, 0.01)
+        for word, k in c.items():
+            text = b" " + word
+            a = forward(text)
+            b = [0.0] * len(text) + [1.0]
+            for i in range(len(text) - 1, -1, -1):
+                b[i] = math.fsum(p.get(text[i:j], 0.0) * b[j] for j in range(i + 1, len(text) + 1))
+            for i in range(len(text)):
+                for j in range(i + 1, len(text) + 1):
+                    if text[i:j] in p:
+                        expected[text[i:j]] += k * a[i] * p[text[i:j]] * b[j] / a[-1]
+        total = math.fsum(expected.values()) + ends
+        p, p_end = {x: e / total for x, e in expected.items()}, ends / total
+    freed = lm_score.DISCOUNT * distinct / n
+
+    def arc(word):
+        return max(c[word] - lm_score.DISCOUNT, 0.0) / n + freed * forward(b" " + word)[-1]
+
+    end = (ends - lm_score.DISCOUNT) / n + freed * p_end
+    return sorted((str(i), sum(math.log10(arc(w)) for w in ws) + math.log10(end),
+                   sum(math.log10(forward(b" " + w)[-1]) for w in ws) + math.log10(p_end)) for i, ws in texts)
+
+
+def test_scores_by_plain_loops(spark):
+    from pyspark.sql import functions as F
+
+    rows = [r for r in ROWS if r[0] != 4] + [(70, "the unseen thecat"), (71, "zq internationalisation été")]
+    got = lm_score.lm_score(docs_frame(spark, rows).repartition(3), held_out(F.col("doc_id"), 1)).collect()
+    want = brute_scores(rows)
+    have = sorted((str(r.doc_id), r.score, r.lattice_score) for r in got)
+    assert [h[0] for h in have] == [w[0] for w in want]
+    assert np.allclose([h[1:] for h in have], [w[1:] for w in want], rtol=1e-9)

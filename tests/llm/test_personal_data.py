@@ -76,3 +76,41 @@ def test_spelled_addresses_without_at_sign(spark):
              (42, "we met at home. Then it rained")]
     by = {r.doc_id: r for r in query(spark, docs_frame(spark, rows)).collect()}
     assert by[40].spans == "email:16:39" and by[41].spans == "email:16:35" and by[42].spans == ""
+
+
+def brute_added(texts):
+    """Spans added per row: patterns and instances scored by plain loops over all mentions."""
+    mentions = [(i, m) for i, t in enumerate(texts) for m in pd_.mentions_of(t or "", pd_.base_spans(t or ""))]
+    edges = {}  # (kind, pattern, instance) -> is a seed
+    for _, (kind, _, _, instance, seed, patterns) in mentions:
+        for p in patterns:
+            edges[kind, p, instance] = edges.get((kind, p, instance), False) or seed
+    seeds = {}
+    for (kind, _, instance), seed in edges.items():
+        seeds[kind, instance] = max(seeds.get((kind, instance), 0.0), float(seed))
+    score, trust = dict(seeds), {}
+    for _ in range(pd_.ROUNDS):
+        for kind, p in {e[:2] for e in edges}:
+            near = [score[kind, x] for k, q, x in edges if (k, q) == (kind, p)]
+            trust[kind, p] = sum(near) / (len(near) + pd_.SMOOTHING) if sum(near) >= pd_.MIN_SEEDS else 0.0
+        miss = {x: 1.0 for x in seeds}
+        for kind, p, x in edges:
+            miss[kind, x] *= max(1e-9, 1 - trust[kind, p])
+        score = {x: max(seeds[x], 1 - miss[x]) for x in seeds}
+    out = [set() for _ in texts]
+    for i, (kind, a, b, instance, seed, patterns) in mentions:
+        if not seed and any(trust[kind, p] >= pd_.CONFIDENCE for p in patterns) and score.get((kind, instance), 0.0) >= pd_.CONFIDENCE:
+            out[i].add((kind, a, b))
+    return [sorted(x) for x in out]
+
+
+def test_added_spans_by_plain_loops(spark):
+    texts = [r[1] for r in ROWS if r[0] != 8]
+    texts += [f"send mail to user{i}@site{i % 3}.org or call +1 555 20{i:05d} today" for i in range(12)]
+    texts += [f"send mail to user{i} at site.org or call 555-20{i:05d} today" for i in range(12)]
+    texts += [f"card no: 4111 1111 1111 {1000 + i} ok" for i in range(40)] + ["card no: 1234 5678 9012 3456 ok", "host is 10.0.0.1 up", "host is 10 . 0 . 0 . 2 up"]
+    texts += [f"host is 10.0.{i}.1 up" for i in range(9)]
+    got = pd_.personal_data(docs_frame(spark, list(enumerate(texts))).repartition(3)).collect()
+    want = brute_added(texts)
+    assert {r.doc_id: [tuple(s) for s in r.added] for r in got} == dict(enumerate(want))
+    assert sum(map(len, want)) > 10

@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import zlib
 
@@ -96,3 +98,79 @@ def test_words_of_copied_toxic_texts_weigh_nothing(spark):
     model = toxicity.fit(docs, labels)
     assert "=idiot" in model.weights
     assert not [w for w in passage if f"={w}" in model.weights]
+
+
+def channel(token, i):
+    """What the character at ``i`` may have been, with its cost, written out from the channel's rules."""
+    c, left, right = token[i], i, i
+    while left and token[left - 1] == c:
+        left -= 1
+    while right + 1 < len(token) and token[right + 1] == c:
+        right += 1
+    nth, stretched = i - left + 1, right - left + 1 >= 3
+    out = []
+    if c in toxicity.LETTERS:
+        if nth == 1:
+            out.append((c, 0.0))
+        elif nth == 2:
+            out += [(c, toxicity.COST_REPEAT), ("", 0.0)] if stretched else [(c, 0.0), ("", toxicity.COST_TWICE)]
+        else:
+            out += [(c, toxicity.COST_TWICE), ("", 0.0)]
+    out += [(x, toxicity.COST_VOWEL if c == "*" else toxicity.COST_SWAP) for x in toxicity.STANDS_FOR.get(c, "")]
+    if c in toxicity.SEPARATORS:
+        out.append(("", toxicity.COST_DROP))
+    if c in " .-_":
+        out.append((" ", toxicity.COST_SPACE))
+    if not out or (c in toxicity.STANDS_FOR and c not in "0123456789"):
+        out.append(("", toxicity.COST_LOST))
+    return out
+
+
+def all_paths(token, characters):
+    """Every text the token may stand for with the best value of a path to it."""
+    found = {}
+    for path in itertools.product(*(channel(token, i) for i in range(len(token)))):
+        a = b = 0
+        value = 0.0
+        for letter, cost in path:
+            value -= cost
+            if letter:
+                n = 0 if letter == " " else toxicity.LETTERS.index(letter) + 2
+                if n == 0 and b == 0:
+                    break
+                value += float(characters[a, b, n])
+                a, b = b, n
+        else:
+            text = "".join(letter for letter, _ in path)
+            value += float(characters[a, b, 0]) if b else 0.0
+            found[text.strip()] = max(found.get(text.strip(), -1e9), value)
+    return found
+
+
+@pytest.mark.parametrize("token", ["1d10t", "a$$", "4$$", "@$$", "a55", "s.t.u", "m0r0n!", "stuuupid", "aab", "b!tch", "x*y-z", "a s s", "i--i", "#1|", "日1l", "a. .b",
+                                   "..", "$", "l8r", "ee", "eee", "eeee.e", "ß!ß"])
+def test_decoding_is_the_best_of_all_paths(model, token):
+    paths = all_paths(token, model.characters)
+    assert paths[toxicity.restore(token, model.characters)] == pytest.approx(max(paths.values()), abs=1e-3)
+
+
+def test_decoding_random_tokens(model):
+    rng = random.Random(11)
+    for _ in range(150):
+        token = "".join(rng.choice("abeilost013$@!*. -_~xé日") for _ in range(rng.randrange(1, 8)))
+        paths = all_paths(token, model.characters)
+        assert paths[toxicity.restore(token, model.characters)] == pytest.approx(max(paths.values()), abs=1e-3), token
+
+
+def test_scores_by_plain_loops(spark, model):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: r.toxicity for r in toxicity.score(docs, model).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        low = (text or "").lower()
+        words = {w for t in low.split() for w in toxicity.words_behind(t, model.characters)} | set(toxicity.apart(low, model.characters))
+        z = model.prior
+        for w in words:
+            z += max([model.weights.get("=" + w, 0.0)] + [model.weights.get("^" + w[:n], 0.0) for n in (4, 5, 6) if len(w) >= n])
+        assert got[doc_id] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))))
