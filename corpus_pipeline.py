@@ -3,6 +3,11 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is written as Parquet
 and read back as the next stage's ``docs``.  All but the last return the columns of
 ``documents``.
+
+Results for odd input: a null text counts as empty in every stage (kept by the toxicity stage, one of all
+empty texts stays after exact dedup, never taken by the mix); null ids and repeated rows are ordinary
+documents and are decided row by row; columns beside those of ``documents``, of any name, travel on
+unchanged up to the last stage; empty tables give empty results.
 """
 
 from __future__ import annotations
