@@ -19,6 +19,7 @@ once, the results return to the blocks, and a document's score is a sum over its
 Results for odd input: a null text is empty and scores as the end mark alone; a null id counts
 as empty text in the hash that picks the training rows; repeated rows are ordinary documents;
 with no training row the vocabulary's own scores are used; an empty table gives an empty result.
+Only the id and the text column are read, so others may have any name.
 """
 
 from __future__ import annotations

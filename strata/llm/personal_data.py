@@ -15,6 +15,7 @@ of all mentions is no bottleneck; documents without mentions take no part in the
 Results for odd input: a null or empty text has no spans; null ids and repeated rows are
 ordinary documents, each with its own spans; offsets count code points; an empty table gives
 an empty result.
+Only the id and the text column are read, so others may have any name.
 """
 
 from __future__ import annotations

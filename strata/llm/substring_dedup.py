@@ -15,7 +15,8 @@ match among n windows: about n * n / 2**65).
 Results for odd input: a null text has no words; a text shorter than a window is never cut; a
 document with a null id is kept whole and makes no other a repeat; rows that repeat an id and
 its text are cut alike, never because of each other; rows that share an id but not their text
-share the intervals of both; an empty table gives an empty result.
+each lose their own repeated windows only; an empty table gives an empty result.
+Only the id and the text column are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -16,6 +16,7 @@ share an id are rows of their own, as queries and as candidates; ties go to the
 candidates give fewer rows; an empty table gives an empty result.  A block with components so
 large that doubles would round is scored in whole numbers, without bounds; scores beyond a long are
 cut to it.
+Only the id and the vector column are read, so others may have any name.
 """
 
 from __future__ import annotations
