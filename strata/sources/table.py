@@ -64,6 +64,8 @@ _WIDENS = {"smallint": ("tinyint",), "int": ("tinyint", "smallint"), "bigint": (
 # bounds are missing there when a file holds NaN
 _FOOTER_BOUNDS = ("boolean", "tinyint", "smallint", "int", "bigint", "date")
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+# Fixed value: rows that one task sorts when it rewrites files, as bytes in memory
+SORT_BYTES = 512 * 1024 * 1024
 
 
 MERGE = "merge"  # an upsert that removes other keys in the same commit
@@ -96,6 +98,14 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
+def _sort_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in a sort: words for the fields and the null bits, the pointers that are sorted, texts at their
+    length."""
+    n = len(df.columns)
+    texts = df.select(*[f"`{name}`" for name, t in df.dtypes if t in ("string", "binary") or t.startswith(("array", "map", "struct"))])
+    return F.lit(8 * n + 8 * math.ceil(n / 64) + 40 + 7 * len(texts.columns)).cast("long") + _row_bytes(texts)
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, spec: TableSpec):
         self.spark = spark
@@ -719,9 +729,6 @@ class KeyedTable:
         self.fs.delete(f"{self.meta}/packs/{pack[0]}-{pack[1]}-{made}")
         self.fs.delete(self._pack_path(pack))
 
-    def _mean_row_bytes(self, rows: DataFrame) -> float:
-        return float(rows.agg(F.avg(_row_bytes(rows))).first()[0] or 1.0)
-
     def _tail_extent(self, tail: DataFrame) -> tuple[set[int], float]:
         """Buckets that a log tail touches (at most ``buckets``) and its mean row width."""
         touched, width = tail.agg(F.collect_set(self._bucket()), F.avg(_row_bytes(tail))).first()
@@ -758,6 +765,9 @@ class KeyedTable:
         """Rewrite rows range-partitioned and sorted by ``columns`` (within bucket and partition) as a new
         commit that adds nothing to the log, so readers see no old rows again.
 
+        A range holds at most ``target_bytes`` of the files read and, unpacked, about ``SORT_BYTES``: what a task sorts
+        does not grow with the table.  Rows alike in ``columns`` are ranged by their keys.
+
         Incremental: a bucket is finished when an earlier call wrote it with the same columns and nothing was
         folded into it since, or when it holds one file at least, none below ``small_bytes``; finished buckets keep
         their files.  Returns None when all are finished."""
@@ -779,10 +789,12 @@ class KeyedTable:
             return None
         rows = self.base(vs[-1], open_, markers, gone=self._timed)
         n = max(markers) + 1
-        n_files = max(1, math.ceil(sum(sum(sizes[b]) for b in open_) / (target_bytes or CLUSTER_TARGET_BYTES)))
-        ranged = rows.repartitionByRange(n_files, self._bucket(), *[F.col(c) for c in [*self.spec.partition_by, *cols]])
+        held_bytes, width = rows.agg(F.sum(_sort_bytes(rows)), F.avg(_row_bytes(rows))).first()
+        n_ranges = max(1, math.ceil(sum(sum(sizes[b]) for b in open_) / (target_bytes or CLUSTER_TARGET_BYTES)), math.ceil((held_bytes or 0) / SORT_BYTES))
+        by = dict.fromkeys([*self.spec.partition_by, *cols, *self.spec.merge_keys])
+        ranged = rows.repartitionByRange(n_ranges, self._bucket(), *[F.col(c) for c in by])
         held = {b: v for b, v in manifest.items() if _home(b) not in open_}
-        self._write_base(ranged, n, self._mean_row_bytes(rows), held, sort_by=cols)
+        self._write_base(ranged, n, float(width or 1.0), held, sort_by=cols)
         self.fs.write_text(f"{self.meta}/clusters/{n}", json.dumps(cols))
         self._mark(n, "cluster", None)
         self._tidy()
