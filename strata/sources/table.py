@@ -3,7 +3,7 @@
 Layout under ``spec.path``::
 
     log/commit=<n>/[<partition cols>=...]/part-*.parquet    rows written by commit n
-    packs/_pack=c<a>-<b>/part-*.parquet                     rows of the small commits a to b, in one file
+    packs/_pack=c<a>-<b>/part-*.parquet                     rows of the small commits a to b, in few files
     base/_v=<n>/_bucket=<b>/[<partition cols>=...]/...        current rows, by hash of the key
     _meta/commits/<n>.<method>.<tag hash>                    commit n is visible (written last)
     _meta/bases/<n>                                          base n: which version holds each bucket
@@ -252,13 +252,15 @@ class KeyedTable:
             df = df.where(F.col(COMMIT) <= F.lit(until))
         return df
 
-    def _rows_of(self, commits: list[int]) -> DataFrame:
-        """Rows of all log commits between the first and the last one given."""
+    def _rows_of(self, commits: list[int], place: str | None = None) -> DataFrame:
+        """Rows of all log commits between the first and the last one given.  ``place``: a column that
+        numbers the rows of every file, from a start by its path."""
         loose, packs = self._placed(commits)
-        df = self._read(self.log_dir, [f"{self.log_dir}/commit={c}" for c in loose]) if loose else None
+        also = [(F.crc32("_metadata.file_path") + F.col("_metadata.row_index")).alias(place)] if place else []
+        df = self._read(self.log_dir, [f"{self.log_dir}/commit={c}" for c in loose]).select("*", *also) if loose else None
         if packs:
-            # a pack is in the order of its commits, so the range prunes inside its file
-            packed = self._read(self.pack_dir, [self._pack_path(p) for p in packs]).drop(PACK)
+            # a pack is in the order of its commits, so the range prunes inside its files
+            packed = self._read(self.pack_dir, [self._pack_path(p) for p in packs]).select("*", *also).drop(PACK)
             packed = packed.where(F.col(COMMIT).between(min(commits), max(commits)))
             df = packed if df is None else df.unionByName(packed)
         return df
@@ -670,21 +672,29 @@ class KeyedTable:
         """Write the small files of the log together, across commits; returns how many packs were made.
 
         Consecutive commits and earlier packs that are smaller than ``small_file_bytes`` are joined until
-        they reach it, one file each.  The rows keep their commit, so increments, expiry and retries see
+        they reach it, one file each, or as many as hold ``SORT_BYTES`` of its rows in memory: a task
+        sorts one file, and rows that compress well would not fit it.  The rows keep their commit, so increments, expiry and retries see
         no change.  A pack still below the floor is joined again with later commits: at most about the
         floor is rewritten per ``pack_every`` commits.  The replaced directories stay for ``keep_versions``
         more commits, for the plans that have listed them."""
         made = 0
         while groups := self._small_runs():
             home = {c: group for group, commits in groups.items() for c in commits}
-            rows = self._rows_of(list(home))
+            rows = self._rows_of(list(home), place="__at")
             # one row per commit to pack: bounded by the log that is kept
-            names = self.spark.createDataFrame([(c, f"c{a}-{b}") for c, (a, b) in home.items()], f"__c long, {PACK} string")
+            held = dict(rows.where(F.col(COMMIT).isin(list(home))).groupBy(COMMIT).agg(F.sum(_sort_bytes(rows))).collect())
+            parts, tasks = {}, 0  # group -> its first task and the number of them
+            for group, commits in groups.items():
+                parts[group] = (tasks, max(1, math.ceil(sum(held.get(c, 0) for c in commits) / SORT_BYTES)))
+                tasks += parts[group][1]
+            names = self.spark.createDataFrame([(c, f"c{g[0]}-{g[1]}", *parts[g]) for c, g in home.items()],
+                                               f"__c long, {PACK} string, __first long, __parts long")
             rows = rows.join(F.broadcast(names), F.col(COMMIT) == F.col("__c")).drop("__c")
             for group in groups:  # what a failed attempt left; nobody reads a pack without its marker
                 self.fs.delete(self._pack_path(group))
+            rows = rows.repartitionById(tasks, (F.col("__first") + F.pmod("__at", "__parts")).cast("int"))
             rows = rows.select(*[f.name for f in self.schema().fields], PACK)
-            (rows.repartition(len(groups), PACK).sortWithinPartitions(PACK, COMMIT).write.mode("append")
+            (rows.sortWithinPartitions(PACK, COMMIT).write.mode("append")
              .option("compression", self.spec.compression).partitionBy(PACK).parquet(self.pack_dir))
             now = self.last_commit()
             for a, b in groups:
